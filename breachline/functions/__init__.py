@@ -4,9 +4,9 @@ from .codecs import CODECS, compress, decompress
 from .events import (
     custom_violations,
     event_list,
+    named_violations,
     typed_fields,
     violation_list,
-    violation_list_json,
     with_violations_json,
 )
 
@@ -16,8 +16,8 @@ __all__ = [
     "custom_violations",
     "decompress",
     "event_list",
+    "named_violations",
     "typed_fields",
     "violation_list",
-    "violation_list_json",
     "with_violations_json",
 ]

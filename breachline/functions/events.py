@@ -7,16 +7,23 @@ from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_NAMES, VIOLATION_LIST, FieldNames
 
-# Spark's JSON reader is lenient by default; these settings keep it to standard JSON.
-_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+# Spark's JSON reader is lenient by default, and it rejects very long strings and numbers. These
+# settings keep it to standard JSON, of any length.
+_ANY_LENGTH = str((1 << 31) - 1)
+_STANDARD = {
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+    "maxStringLen": _ANY_LENGTH,
+    "maxNumLen": _ANY_LENGTH,
+}
 
 
 def event_list(json: Column) -> Column:
     """`array<variant>` of a JSON list; null for anything that is not a well-formed list.
 
-    Each element is its own variant, so the size limit of a variant holds per event, not per list.
+    Each element is its own variant, so a variant's limit of 128 MiB holds per event, not per list.
     """
-    return F.from_json(json, "array<variant>", _STRICT)
+    return F.from_json(json, "array<variant>", _STANDARD)
 
 
 def typed_fields(event: Column, fields: str) -> Column:
@@ -44,28 +51,27 @@ def violation_list(hits: list[tuple[int, Column]]) -> Column:
     return F.array_compact(F.array(*found)).cast(VIOLATION_LIST)
 
 
-def violation_list_json(violations: Column, names: FieldNames = DEFAULT_NAMES) -> Column:
-    """JSON text of a violation list, with the policy id under its configured name."""
-    return F.to_json(violations.cast(f"array<struct<`{names.policy_id}`:bigint>>"))
+def named_violations(violations: Column, names: FieldNames = DEFAULT_NAMES) -> Column:
+    """A violation list as a variant, with the policy id under its configured name."""
+    return F.to_variant_object(violations.cast(f"array<struct<`{names.policy_id}`:bigint>>"))
 
 
 def with_violations_json(
     event: Column, body: Column, violations: Column, names: FieldNames = DEFAULT_NAMES
 ) -> Column:
-    """JSON text of an event whose violations are replaced by the given JSON text.
+    """JSON text of an event whose violations are replaced by the given variant, or by null.
 
     `body` must be `to_json(event)`. Its names are written without needless escapes, so a body that
     does not contain the quoted name has no such key, and the new entry is simply put in front. Only
     an event that has the key already is taken apart to drop it.
     """
     key = f'"{names.violations}"'
-    value = F.coalesce(violations, F.lit("null"))
+    text = F.coalesce(F.to_json(violations), F.lit("null"))
     separator = F.when(body == "{}", F.lit("")).otherwise(F.lit(","))
-    in_front = F.concat(F.lit("{" + key + ":"), value, separator, F.substr(body, F.lit(2)))
+    in_front = F.concat(F.lit("{" + key + ":"), text, separator, F.substr(body, F.lit(2)))
     kept = F.map_filter(event.try_cast("map<string,variant>"), lambda k, _: k != names.violations)
-    replaced = F.to_json(
-        F.to_variant_object(
-            F.map_concat(kept, F.create_map(F.lit(names.violations), F.parse_json(value)))
-        )
+    entry = F.create_map(
+        F.lit(names.violations), F.coalesce(violations, F.parse_json(F.lit("null")))
     )
+    replaced = F.to_json(F.to_variant_object(F.map_concat(kept, entry)))
     return F.when(F.contains(body, F.lit(key)), replaced).otherwise(in_front)

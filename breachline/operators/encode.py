@@ -12,8 +12,7 @@ from pyspark.sql.types import VariantType
 from ..functions.codecs import compress, compressor
 from ..functions.events import (
     custom_violations,
-    typed_fields,
-    violation_list_json,
+    named_violations,
     with_violations_json,
 )
 from ..schemas import (
@@ -34,9 +33,9 @@ _BATCH_BYTES = 16 << 20
 def event_payloads(events: DataFrame, names: FieldNames = DEFAULT_NAMES) -> DataFrame:
     """Add `payload`, the event's JSON text with `violations` put into it."""
     if isinstance(events.schema["violations"].dataType, VariantType):
-        found = F.to_json("violations")
+        found = F.col("violations")
     else:
-        found = violation_list_json(F.col("violations"), names)
+        found = named_violations(F.col("violations"), names)
     # `_body` is a column of its own so that the event is written once, not per use.
     return (
         events.withColumn("_body", F.to_json("event"))
@@ -171,7 +170,7 @@ def route_promoted_lists(
     promoted = F.transform(
         "good",
         lambda p: with_violations_json(
-            p["event"], p["body"], F.to_json(custom_violations(p["event"], names)), names
+            p["event"], p["body"], custom_violations(p["event"], names), names
         ),
     )
     nothing = F.array().cast("array<struct<output:string,pos:int,text:string,raw:binary,reason:string>>")

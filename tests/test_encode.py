@@ -1,0 +1,121 @@
+import json
+
+import pytest
+from envelopes import envelopes, packed, texts
+from pyspark.sql import functions as F
+
+import breachline as bl
+from breachline.functions.codecs import decompress
+
+RULE = [("acme", 9999)]
+
+
+def rules():
+    return [bl.rule_contains("requesturl", token, policy) for token, policy in RULE]
+
+
+def plain(frame, codec="none"):
+    return frame.withColumn("value", decompress(F.col("value"), codec))
+
+
+def published(spark, *lists, names=bl.FieldNames(), codec="none"):
+    flagged = bl.apply_rules(bl.decode_events(texts(spark, *lists)), rules(), only_violating=True)
+    rows = plain(bl.encode_events(flagged, codec, names), codec).orderBy("offset", "pos").collect()
+    return [json.loads(r.value) for r in rows]
+
+
+@pytest.mark.parametrize("codec", ("none", "gzip", "snappy"))
+def test_event_with_violations_put_in(spark, codec):
+    out = published(spark, '[{"requesturl":"acme","z":{"q":[1]}},{}]', codec=codec)
+    assert out == [[{"requesturl": "acme", "z": {"q": [1]}, "violations": [{"policyId": 9999}]}]]
+
+
+@pytest.mark.parametrize("key", ("violations", "violati\\u006fns", "\\u0076iolations"))
+def test_old_key_is_dropped_however_it_is_written(spark, key):
+    text = '[{"%s":[{"policyId":1}],"requesturl":"acme"}]' % key
+    (message,) = published(spark, text)
+    assert message == [{"requesturl": "acme", "violations": [{"policyId": 9999}]}]
+    assert text.count("requesturl") == 1
+
+
+def test_key_text_inside_values_is_left_alone(spark):
+    event = {"requesturl": "acme", "note": 'say "violations":1', "deep": {"violations": [2]}}
+    assert published(spark, json.dumps([event])) == [[event | {"violations": [{"policyId": 9999}]}]]
+
+
+def test_field_names_can_be_set(spark):
+    names = bl.FieldNames(violations="alerts", custom_violations="own", policy_id="rule")
+    (message,) = published(spark, '[{"requesturl":"acme","violations":7,"alerts":[0]}]', names=names)
+    assert message == [{"requesturl": "acme", "violations": 7, "alerts": [{"rule": 9999}]}]
+    with pytest.raises(ValueError):
+        bl.FieldNames(violations='a"b')
+
+
+def test_message_keys(spark):
+    flagged = bl.detect(envelopes(spark, [packed('[{},{"requesturl":"acme"}]')]), rules())
+    (row,) = bl.encode_events(flagged).collect()
+    assert bytes(row.key) == b"t/0/0/1"
+
+
+def test_pack_bounds(spark):
+    listed = "[" + ",".join('{"requesturl":"acme%d"}' % i for i in range(10)) + "]"
+    flagged = bl.detect(envelopes(spark, [packed(listed)]), rules()).coalesce(1)
+    by_count = [json.loads(r.value) for r in plain(bl.pack_events(flagged, 4)).collect()]
+    assert [len(m) for m in by_count] == [4, 4, 2]
+    assert [e["requesturl"] for m in by_count for e in m] == [f"acme{i}" for i in range(10)]
+    by_size = plain(bl.pack_events(flagged, 100, max_message_bytes=150, codec="gzip"), "gzip").collect()
+    assert [len(json.loads(r.value)) for r in by_size] == [2] * 5
+    alone = plain(bl.pack_events(flagged, 100, max_message_bytes=1)).collect()
+    assert [len(json.loads(r.value)) for r in alone] == [1] * 10
+    assert bl.pack_events(flagged.where("false")).count() == 0
+    with pytest.raises(ValueError):
+        bl.pack_events(flagged, 0)
+
+
+def test_promote(spark):
+    frame = envelopes(
+        spark, [packed('[{"customViolations":[{"policyId":5,"x":"y"}],"violations":[1]},{},{"customViolations":null}]')]
+    )
+    rows = bl.promote(frame).orderBy("pos").collect()
+    assert [None if r.violations is None else json.loads(r.violations.toJson()) for r in rows] == [
+        [{"policyId": 5, "x": "y"}],
+        None,
+        None,
+    ]
+    out = [json.loads(r.value)[0] for r in plain(bl.encode_events(bl.promote(frame))).orderBy("pos").collect()]
+    assert [e["violations"] for e in out] == [[{"policyId": 5, "x": "y"}], None, None]
+    assert out[0]["customViolations"] == [{"policyId": 5, "x": "y"}]
+
+
+@pytest.mark.parametrize("codec", ("none", "gzip", "snappy"))
+def test_promoted_lists_stay_together(spark, codec):
+    lists = ['[{"customViolations":[{"policyId":5}],"k":1},3,{}]', "[]", "nope", '["x"]']
+    values = [packed(t, codec) for t in lists]
+    routed = bl.route_promote(envelopes(spark, values), codec, out_codec=codec)
+    good = plain(routed.where("output = 'violations'"), codec).collect()
+    assert [(r.offset, r.pos, bytes(r.key)) for r in good] == [(0, None, b"t/0/0")]
+    assert json.loads(good[0].value) == [
+        {"customViolations": [{"policyId": 5}], "k": 1, "violations": [{"policyId": 5}]},
+        {"violations": None},
+    ]
+    bad = routed.where("output = 'quarantine'").orderBy("offset", "pos").collect()
+    assert [(r.offset, r.pos, bytes(r.value), r.reason) for r in bad] == [
+        (0, 1, b"3", "not_object"),
+        (2, None, values[2], "parse"),
+        (3, 0, b'"x"', "not_object"),
+    ]
+
+
+@pytest.mark.parametrize("codec", ("none", "gzip", "snappy"))
+def test_routed_detection(spark, codec):
+    lists = ['[{"requesturl":"acme"},3,{"requesturl":"other"}]', "[]", "{}"]
+    values = [packed(t, codec) for t in lists] + [None]
+    routed = bl.route_detect(envelopes(spark, values), rules(), codec, out_codec=codec)
+    (good,) = plain(routed.where("output = 'violations'"), codec).collect()
+    assert json.loads(good.value) == [{"requesturl": "acme", "violations": [{"policyId": 9999}]}]
+    bad = routed.where("output = 'quarantine'").orderBy("offset").collect()
+    assert [(r.offset, r.pos, r.value and bytes(r.value), r.reason) for r in bad] == [
+        (0, 1, b"3", "not_object"),
+        (2, None, values[2], "not_array"),
+        (3, None, None, "decompress"),
+    ]

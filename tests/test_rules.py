@@ -1,0 +1,101 @@
+import pyarrow as pa
+import pytest
+from envelopes import texts
+from pyspark.sql import functions as F
+
+import breachline as bl
+
+
+def policies(flagged):
+    return [[v.policyId for v in r.violations] for r in flagged.orderBy("offset", "pos").collect()]
+
+
+def events(spark, *lists, fields="requesturl string"):
+    return bl.decode_events(texts(spark, *lists), fields)
+
+
+def test_contains_is_case_sensitive_and_literal(spark):
+    frame = events(
+        spark, '[{"requesturl":"x.acme/a"},{"requesturl":"ACME"},{"requesturl":"100%_x"},{"requesturl":"100ab"}]'
+    )
+    assert policies(bl.apply_rules(frame, [bl.rule_contains("requesturl", "acme", 9999)])) == [[9999], [], [], []]
+    assert policies(bl.apply_rules(frame, [bl.rule_contains("requesturl", "0%_", 1)])) == [[], [], [1], []]
+
+
+def test_null_and_missing_fields_do_not_match(spark):
+    frame = events(spark, '[{"requesturl":null},{},{"requesturl":"acme"}]')
+    rules = [bl.rule_contains("requesturl", "acme", 1)]
+    assert policies(bl.apply_rules(frame, rules)) == [[], [], [1]]
+    assert policies(bl.only_violations(bl.apply_rules(frame, rules))) == [[1]]
+
+
+def test_several_rules_keep_their_order(spark):
+    frame = events(spark, '[{"requesturl":"ab"},{"requesturl":"b"},{"requesturl":"z"}]')
+    rules = [bl.rule_contains("requesturl", "b", 2), bl.rule_contains("requesturl", "a", 1)]
+    assert policies(bl.apply_rules(frame, rules)) == [[2, 1], [2], []]
+
+
+def test_filtering_first_gives_the_same_rows(spark):
+    frame = events(spark, '[{"requesturl":"ab"},{"requesturl":"b"},{"requesturl":"z"},{}]')
+    rules = [bl.rule_contains("requesturl", "a", 1), bl.rule_contains("requesturl", "b", 2)]
+    late = bl.only_violations(bl.apply_rules(frame, rules))
+    early = bl.apply_rules(frame, rules, only_violating=True)
+    assert early.schema == late.schema
+    assert policies(early) == policies(late) == [[1, 2], [2]]
+
+
+def test_no_rules(spark):
+    frame = events(spark, '[{"requesturl":"a"}]')
+    flagged = bl.apply_rules(frame, [])
+    assert flagged.schema["violations"].dataType.simpleString() == "array<struct<policyId:bigint>>"
+    assert policies(flagged) == [[]]
+    assert bl.only_violations(flagged).count() == 0
+    assert bl.apply_rules(frame, [], only_violating=True).count() == 0
+
+
+def test_old_violations_are_replaced(spark):
+    fields = "requesturl string, violations array<struct<policyId:bigint>>"
+    frame = events(spark, '[{"requesturl":"acme","violations":[{"policyId":1}]}]', fields=fields)
+    old = F.exists("violations", lambda v: v["policyId"] == 1)
+    assert policies(bl.apply_rules(frame, [bl.Rule(5, old)])) == [[5]]
+
+
+def test_rule_on_any_column(spark):
+    frame = events(spark, '[{"requesturl":"a","n":{"m":[1,9]}},{"requesturl":"b"}]')
+    deep = bl.Rule(3, F.try_variant_get("event", "$.n.m[1]", "int") > 5)
+    missing = bl.Rule(4, F.try_variant_get("event", "$.n", "variant").isNull())
+    assert policies(bl.apply_rules(frame, [deep, missing])) == [[3], [4]]
+
+
+def test_policy_ids_are_64_bit(spark):
+    frame = events(spark, '[{"requesturl":"a"}]')
+    top = (1 << 63) - 1
+    assert policies(bl.apply_rules(frame, [bl.rule_contains("requesturl", "a", top)])) == [[top]]
+    with pytest.raises(ValueError):
+        bl.rule_contains("requesturl", "a", 1 << 63)
+
+
+def test_rules_never_match_quarantined_rows(spark):
+    frame = texts(spark, '[7,{"requesturl":"a"},{}]', "nope")
+    outcomes = bl.decode_outcomes(frame)
+    bad = F.col("reason").isNotNull()
+    rules = [bl.Rule(1, F.col("requesturl").isNull())]
+    rows = bl.apply_rules(outcomes, rules, only_violating=True, unless=bad).collect()
+    seen = sorted((r.offset, -1 if r.pos is None else r.pos, len(r.violations)) for r in rows)
+    assert seen == [(0, 0, 0), (0, 2, 1), (1, -1, 0)]
+
+
+def test_udf_rule_runs_once_per_event(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def judge(text: pa.Array) -> pa.Array:
+        calls.add(len(text))
+        return pa.array([t is not None and t.endswith("7") for t in text.to_pylist()])
+
+    rule = bl.Rule(1, F.arrow_udf(judge, "boolean").asNondeterministic()(F.col("requesturl")))
+    listed = "[" + ",".join(f'{{"requesturl":"{i}"}}' for i in range(100)) + "]"
+    for only_violating in (True, False):
+        before = calls.value
+        flagged = bl.apply_rules(events(spark, listed), [rule], only_violating)
+        assert flagged.where(F.size("violations") > 0).count() == 10
+        assert calls.value - before == 100
