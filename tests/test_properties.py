@@ -1,0 +1,82 @@
+"""Random events and random damage."""
+
+import json
+from collections import Counter
+
+from envelopes import envelopes, packed
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import breachline as bl
+from breachline.functions.codecs import decompress
+
+TEXT = st.text(st.characters(blacklist_categories=("Cs",)), max_size=12)
+VALUE = st.recursive(
+    st.none()
+    | st.booleans()
+    | st.integers(-(1 << 63), (1 << 63) - 1)
+    | st.floats(allow_nan=False, allow_infinity=False)
+    | TEXT,
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(TEXT, inner, max_size=3),
+    max_leaves=6,
+)
+KEYS = TEXT | st.sampled_from(["violations", "customViolations", "requesturl", 'a"b', "a\\b", "é"])
+EVENT = st.dictionaries(KEYS, VALUE, max_size=6)
+SLOW = settings(
+    max_examples=12,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow, HealthCheck.data_too_large],
+)
+
+
+@SLOW
+@given(lists=st.lists(st.lists(EVENT, max_size=5), min_size=10, max_size=30))
+def test_published_events_are_the_events_with_violations(spark, lists):
+    frame = envelopes(spark, [packed(json.dumps(events)) for events in lists])
+    flagged = bl.detect(frame, [bl.Rule(9, F.lit(True))])
+    rows = bl.encode_events(flagged).orderBy("offset", "pos").collect()
+    out = [json.loads(bytes(r.value)) for r in rows]
+    assert out == [[e | {"violations": [{"policyId": 9}]}] for events in lists for e in events]
+
+
+@SLOW
+@given(lists=st.lists(st.lists(EVENT, max_size=5), min_size=10, max_size=30))
+def test_promoted_lists_are_the_lists_with_custom_violations(spark, lists):
+    frame = envelopes(spark, [packed(json.dumps(events), "snappy") for events in lists])
+    routed = bl.route_promote(frame, "snappy", out_codec="gzip")
+    rows = routed.withColumn("text", decompress(F.col("value"), "gzip")).orderBy("offset").collect()
+    expected = [[e | {"violations": e.get("customViolations")} for e in events] for events in lists]
+    assert [json.loads(r.text) for r in rows] == [events for events in expected if events]
+
+
+DAMAGE = st.sampled_from(["none", "junk", "cut", "text", "object", "stray"])
+
+
+@SLOW
+@given(cases=st.lists(st.tuples(DAMAGE, st.lists(EVENT, min_size=1, max_size=4)), min_size=10, max_size=40))
+def test_damage_never_reaches_a_neighbour(spark, cases):
+    values, expected = [], Counter()
+    for damage, events in cases:
+        text = json.dumps(events)
+        if damage == "junk":
+            values.append(b"\0" + text.encode())
+        elif damage == "cut":
+            values.append(packed(text)[:-5])
+        elif damage == "text":
+            values.append(packed(text[:-1]))
+        elif damage == "object":
+            values.append(packed(json.dumps(events[0])))
+        elif damage == "stray":
+            values.append(packed(json.dumps([*events, 1, "s"])))
+        else:
+            values.append(packed(text))
+        kinds = {"junk": "decompress", "cut": "decompress", "text": "parse", "object": "not_array"}
+        if damage in kinds:
+            expected[kinds[damage]] += 1
+        else:
+            expected["event"] += len(events)
+            expected["not_object"] += 2 * (damage == "stray")
+    outcomes = bl.decode_outcomes(bl.decompress_envelopes(envelopes(spark, values)))
+    counted = outcomes.groupBy(F.coalesce("reason", F.lit("event")).alias("kind")).count()
+    assert {r.kind: r["count"] for r in counted.collect()} == +expected

@@ -1,0 +1,75 @@
+"""Option mapping. The Kafka connector and a broker are not available to tests."""
+
+import pytest
+from envelopes import envelopes, packed
+
+import breachline as bl
+
+
+def test_kafka_options():
+    options = bl.kafka_source_options(
+        "b1:9092,b2:9092",
+        "enriched, tier2",
+        start="Smallest",
+        group_id="analytics",
+        max_message_bytes=2_000_000,
+        max_offsets_per_trigger=bl.max_offsets_per_trigger(5, 10, 12),
+        min_partitions=64,
+        max_records_per_partition=10_000,
+        tls={"security.protocol": "SSL", "kafka.ssl.truststore.location": "/t"},
+    )
+    assert options == {
+        "kafka.bootstrap.servers": "b1:9092,b2:9092",
+        "subscribe": "enriched,tier2",
+        "startingOffsets": "earliest",
+        "kafka.group.id": "analytics",
+        "kafka.max.partition.fetch.bytes": "2000000",
+        "maxOffsetsPerTrigger": "600",
+        "minPartitions": "64",
+        "maxRecordsPerPartition": "10000",
+        "kafka.security.protocol": "SSL",
+        "kafka.ssl.truststore.location": "/t",
+    }
+
+
+def test_kafka_options_left_out():
+    assert bl.kafka_source_options("b:1", "t", max_message_bytes=0) == {
+        "kafka.bootstrap.servers": "b:1",
+        "subscribe": "t",
+    }
+    assert bl.kafka_source_options("b:1", "t", start="largest")["startingOffsets"] == "latest"
+    batch = bl.kafka_source_options("b:1", "t", max_offsets_per_trigger=5, streaming=False)
+    assert "maxOffsetsPerTrigger" not in batch
+
+
+@pytest.mark.parametrize("args", [("", "t"), ("b:1", ""), ("b:1", "t,")])
+def test_kafka_options_missing(args):
+    with pytest.raises(ValueError):
+        bl.kafka_source_options(*args)
+
+
+def test_bad_settings():
+    with pytest.raises(ValueError, match="middle"):
+        bl.kafka_source_options("b:1", "t", start="middle")
+    with pytest.raises(ValueError):
+        bl.max_offsets_per_trigger(0, 1, 1)
+
+
+def test_read_needs_one_source(spark):
+    with pytest.raises(ValueError):
+        bl.read_envelopes(spark)
+    with pytest.raises(ValueError):
+        bl.read_envelopes(spark, kafka={}, path="x")
+
+
+def test_kafka_sink_rows(spark):
+    frame = envelopes(spark, [packed('[{"requesturl":"acme"}]'), packed("bad")])
+    routed = bl.route_detect(frame, [bl.rule_contains("requesturl", "acme", 1)])
+    sink = bl.KafkaSink("b:1", "alerts", "bad", {"kafka.security.protocol": "SSL"})
+    rows = sink.rows(routed).orderBy("topic").collect()
+    assert [(r.topic, bytes(r.key)) for r in rows] == [("alerts", b"t/0/0/0"), ("bad", b"t/0/1")]
+    assert rows[0].headers is None
+    assert [(h.key, bytes(h.value)) for h in rows[1].headers] == [("reason", b"parse")]
+    assert sink.settings() == {"kafka.bootstrap.servers": "b:1", "kafka.security.protocol": "SSL"}
+    only = bl.KafkaSink("b:1", "alerts").rows(routed).collect()
+    assert [r.topic for r in only] == ["alerts"]
