@@ -158,14 +158,16 @@ def route_promoted_lists(
     Takes `decode_lists`. Array functions keep the list together, so no shuffle is needed to put the
     events of an envelope back into one message. An empty list gives no message.
     """
-    parts = lists.select(
+    written = lists.select(
         *COORDINATES, "reason", "raw", F.transform("events", _part).alias("parts")
-    ).select(
+    )
+    # Written JSON starts with a brace exactly when it is an object.
+    parts = written.select(
         *COORDINATES,
         "reason",
         "raw",
-        F.filter("parts", lambda p: p["good"]).alias("good"),
-        F.filter("parts", lambda p: ~p["good"]).alias("stray"),
+        F.filter("parts", lambda p: F.startswith(p["body"], F.lit("{"))).alias("good"),
+        F.filter("parts", lambda p: ~F.startswith(p["body"], F.lit("{"))).alias("stray"),
     )
     promoted = F.transform(
         "good",
@@ -201,12 +203,8 @@ def route_promoted_lists(
 
 
 def _part(event: Column, pos: Column) -> Column:
-    return F.struct(
-        pos.alias("pos"),
-        event.alias("event"),
-        F.to_json(event).alias("body"),
-        event.try_cast("struct<>").isNotNull().alias("good"),
-    )
+    body = F.to_json(event)
+    return F.struct(pos.alias("pos"), event.alias("event"), body.alias("body"))
 
 
 def _row(

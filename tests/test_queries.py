@@ -1,11 +1,13 @@
 """Every registered query against its SQL on the plain tables."""
 
+import os
+
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="module")

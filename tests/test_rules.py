@@ -44,6 +44,15 @@ def test_filtering_first_gives_the_same_rows(spark):
     assert policies(early) == policies(late) == [[1, 2], [2]]
 
 
+def test_many_rules(spark):
+    frame = events(spark, '[{"requesturl":"a7 a30"},{"requesturl":"b"},{}]')
+    rules = [bl.rule_contains("requesturl", f"a{i}", i) for i in range(5, 40)]
+    late = bl.only_violations(bl.apply_rules(frame, rules))
+    early = bl.apply_rules(frame, rules, only_violating=True)
+    assert early.schema == late.schema
+    assert policies(early) == policies(late) == [[7, 30]]
+
+
 def test_no_rules(spark):
     frame = events(spark, '[{"requesturl":"a"}]')
     flagged = bl.apply_rules(frame, [])
@@ -79,10 +88,12 @@ def test_rules_never_match_quarantined_rows(spark):
     frame = texts(spark, '[7,{"requesturl":"a"},{}]', "nope")
     outcomes = bl.decode_outcomes(frame)
     bad = F.col("reason").isNotNull()
-    rules = [bl.Rule(1, F.col("requesturl").isNull())]
-    rows = bl.apply_rules(outcomes, rules, only_violating=True, unless=bad).collect()
-    seen = sorted((r.offset, -1 if r.pos is None else r.pos, len(r.violations)) for r in rows)
-    assert seen == [(0, 0, 0), (0, 2, 1), (1, -1, 0)]
+    never = [bl.rule_contains("requesturl", "never", i) for i in range(30)]
+    for extra in ([], never):
+        rules = [bl.Rule(1, F.col("requesturl").isNull()), *extra]
+        rows = bl.apply_rules(outcomes, rules, only_violating=True, unless=bad).collect()
+        seen = sorted((r.offset, -1 if r.pos is None else r.pos, len(r.violations)) for r in rows)
+        assert seen == [(0, 0, 0), (0, 2, 1), (1, -1, 0)]
 
 
 def test_udf_rule_runs_once_per_event(spark):
