@@ -44,7 +44,8 @@ def stream(spark, routed):
 
 
 def write(routed):
-    bl.write_violations(routed, bl.FileSink(tempfile.mkdtemp(prefix="out-", dir=STAGE)), "overwrite")
+    folder = tempfile.mkdtemp(prefix="out-", dir=STAGE)
+    bl.write_violations(routed, bl.FileSink(folder), "overwrite")
 
 
 def jobs(spark):

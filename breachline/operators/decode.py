@@ -64,7 +64,10 @@ def decode_outcomes(texts: DataFrame, fields: str = DEFAULT_FIELDS) -> DataFrame
     # copied into every filter pushed down to it, twice per rule.
     lists = decode_lists(texts).withColumn(
         "events",
-        F.transform("events", lambda e: F.struct(e.alias("event"), typed_fields(e, fields).alias("typed"))),
+        F.transform(
+            "events",
+            lambda e: F.struct(e.alias("event"), typed_fields(e, fields).alias("typed")),
+        ),
     )
     # The outer form keeps bad envelopes in the flow. It also stops Catalyst from deriving a filter
     # on the list, which would be pushed below the parse and repeat it.

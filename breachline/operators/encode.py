@@ -106,11 +106,11 @@ def pack_payloads(
 
 
 def _joined(texts, count: int, room: int) -> Iterator[bytes]:
-    held, size = [], 0
+    held, size = [], 1  # brackets and commas take one byte more than there are texts
     for text in texts:
-        if held and (len(held) == count or size + len(text) > room):
+        if held and (len(held) == count or size + len(text) + 1 > room):
             yield b"[" + b",".join(held) + b"]"
-            held, size = [], 0
+            held, size = [], 1
         held.append(text)
         size += len(text) + 1
     if held:
@@ -175,7 +175,9 @@ def route_promoted_lists(
             p["event"], p["body"], custom_violations(p["event"], names), names
         ),
     )
-    nothing = F.array().cast("array<struct<output:string,pos:int,text:string,raw:binary,reason:string>>")
+    nothing = F.array().cast(
+        "array<struct<output:string,pos:int,text:string,raw:binary,reason:string>>"
+    )
     rows = F.concat(
         F.when(
             F.size("good") > 0,

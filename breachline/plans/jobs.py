@@ -34,7 +34,9 @@ def detect(
     return apply_rules(events, rules, only_violating=True)
 
 
-def promote(envelopes: DataFrame, codec: str = "gzip", names: FieldNames = DEFAULT_NAMES) -> DataFrame:
+def promote(
+    envelopes: DataFrame, codec: str = "gzip", names: FieldNames = DEFAULT_NAMES
+) -> DataFrame:
     """All events, with their custom violations as violations."""
     return promote_custom_violations(decode_events(decompress_envelopes(envelopes, codec)), names)
 

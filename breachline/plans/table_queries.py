@@ -158,7 +158,7 @@ def _promote_missing(spark, sf_dir):
         "customViolations", F.when(F.col("event_type") == "view", F.col("customViolations"))
     )
     published = encode_events(promote(pack_table(rows, "gzip")), codec="gzip")
-    again = _reread(published, "event_id bigint, " + "violations array<struct<policyId:bigint>>", "gzip")
+    again = _reread(published, PUBLISHED, "gzip")
     return again.select("event_id", F.col("violations")[0]["policyId"].alias("policy_id"))
 
 

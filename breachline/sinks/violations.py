@@ -29,7 +29,9 @@ class KafkaSink:
         if self.quarantine_topic is None:
             routed = routed.where(F.col("output") == VIOLATIONS)
         target = F.when(F.col("output") == QUARANTINE, self.quarantine_topic)
-        reason = F.struct(F.lit("reason").alias("key"), F.col("reason").cast("binary").alias("value"))
+        reason = F.struct(
+            F.lit("reason").alias("key"), F.col("reason").cast("binary").alias("value")
+        )
         return routed.select(
             target.otherwise(self.violation_topic).alias("topic"),
             "key",

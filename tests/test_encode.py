@@ -45,7 +45,8 @@ def test_key_text_inside_values_is_left_alone(spark):
 
 def test_field_names_can_be_set(spark):
     names = bl.FieldNames(violations="alerts", custom_violations="own", policy_id="rule")
-    (message,) = published(spark, '[{"requesturl":"acme","violations":7,"alerts":[0]}]', names=names)
+    text = '[{"requesturl":"acme","violations":7,"alerts":[0]}]'
+    (message,) = published(spark, text, names=names)
     assert message == [{"requesturl": "acme", "violations": 7, "alerts": [{"rule": 9999}]}]
     with pytest.raises(ValueError):
         bl.FieldNames(violations='a"b')
@@ -63,8 +64,11 @@ def test_pack_bounds(spark):
     by_count = [json.loads(r.value) for r in plain(bl.pack_events(flagged, 4)).collect()]
     assert [len(m) for m in by_count] == [4, 4, 2]
     assert [e["requesturl"] for m in by_count for e in m] == [f"acme{i}" for i in range(10)]
-    by_size = plain(bl.pack_events(flagged, 100, max_message_bytes=150, codec="gzip"), "gzip").collect()
+    by_size = plain(bl.pack_events(flagged, 100, 150, codec="gzip"), "gzip").collect()
     assert [len(json.loads(r.value)) for r in by_size] == [2] * 5
+    two = len(by_size[0].value)
+    assert [len(r.value) for r in plain(bl.pack_events(flagged, 100, two)).collect()] == [two] * 5
+    assert bl.pack_events(flagged, 100, two - 1).count() == 10
     alone = plain(bl.pack_events(flagged, 100, max_message_bytes=1)).collect()
     assert [len(json.loads(r.value)) for r in alone] == [1] * 10
     assert bl.pack_events(flagged.where("false")).count() == 0
@@ -73,16 +77,16 @@ def test_pack_bounds(spark):
 
 
 def test_promote(spark):
-    frame = envelopes(
-        spark, [packed('[{"customViolations":[{"policyId":5,"x":"y"}],"violations":[1]},{},{"customViolations":null}]')]
-    )
+    own = '{"customViolations":[{"policyId":5,"x":"y"}],"violations":[1]}'
+    frame = envelopes(spark, [packed("[" + own + ',{},{"customViolations":null}]')])
     rows = bl.promote(frame).orderBy("pos").collect()
     assert [None if r.violations is None else json.loads(r.violations.toJson()) for r in rows] == [
         [{"policyId": 5, "x": "y"}],
         None,
         None,
     ]
-    out = [json.loads(r.value)[0] for r in plain(bl.encode_events(bl.promote(frame))).orderBy("pos").collect()]
+    sent = plain(bl.encode_events(bl.promote(frame))).orderBy("pos").collect()
+    out = [json.loads(r.value)[0] for r in sent]
     assert [e["violations"] for e in out] == [[{"policyId": 5, "x": "y"}], None, None]
     assert out[0]["customViolations"] == [{"policyId": 5, "x": "y"}]
 

@@ -26,7 +26,11 @@ EVENT = st.dictionaries(KEYS, VALUE, max_size=6)
 SLOW = settings(
     max_examples=12,
     deadline=None,
-    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow, HealthCheck.data_too_large],
+    suppress_health_check=[
+        HealthCheck.function_scoped_fixture,
+        HealthCheck.too_slow,
+        HealthCheck.data_too_large,
+    ],
 )
 
 
@@ -54,7 +58,11 @@ DAMAGE = st.sampled_from(["none", "junk", "cut", "text", "object", "stray"])
 
 
 @SLOW
-@given(cases=st.lists(st.tuples(DAMAGE, st.lists(EVENT, min_size=1, max_size=4)), min_size=10, max_size=40))
+@given(
+    cases=st.lists(
+        st.tuples(DAMAGE, st.lists(EVENT, min_size=1, max_size=4)), min_size=10, max_size=40
+    )
+)
 def test_damage_never_reaches_a_neighbour(spark, cases):
     values, expected = [], Counter()
     for damage, events in cases:

@@ -1,3 +1,5 @@
+import json
+
 import pyarrow as pa
 import pytest
 from envelopes import texts
@@ -15,11 +17,14 @@ def events(spark, *lists, fields="requesturl string"):
 
 
 def test_contains_is_case_sensitive_and_literal(spark):
-    frame = events(
-        spark, '[{"requesturl":"x.acme/a"},{"requesturl":"ACME"},{"requesturl":"100%_x"},{"requesturl":"100ab"}]'
-    )
-    assert policies(bl.apply_rules(frame, [bl.rule_contains("requesturl", "acme", 9999)])) == [[9999], [], [], []]
-    assert policies(bl.apply_rules(frame, [bl.rule_contains("requesturl", "0%_", 1)])) == [[], [], [1], []]
+    urls = ["x.acme/a", "ACME", "100%_x", "100ab"]
+    frame = events(spark, json.dumps([{"requesturl": url} for url in urls]))
+
+    def found(token):
+        return policies(bl.apply_rules(frame, [bl.rule_contains("requesturl", token, 9999)]))
+
+    assert found("acme") == [[9999], [], [], []]
+    assert found("0%_") == [[], [], [9999], []]
 
 
 def test_null_and_missing_fields_do_not_match(spark):

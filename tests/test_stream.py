@@ -13,7 +13,8 @@ def rules():
 
 
 def listed(start, stop):
-    return ['[{"n":%d,"requesturl":"%s"},7]' % (i, "acme" if i % 2 else "x") for i in range(start, stop)] + ["bad"]
+    urls = [(i, "acme" if i % 2 else "x") for i in range(start, stop)]
+    return ['[{"n":%d,"requesturl":"%s"},7]' % pair for pair in urls] + ["bad"]
 
 
 class Feed:
@@ -45,21 +46,21 @@ def feed(spark, tmp_path):
 
 def content(frame):
     columns = ["output", "topic", "partition", "offset", "pos", "value", "reason"]
-    return sorted(
-        (tuple(bytes(v) if isinstance(v, bytearray) else v for v in row) for row in frame.select(*columns).collect()),
-        key=repr,
-    )
+    rows = frame.select(*columns).withColumn("value", F.hex("value")).collect()
+    return sorted(map(tuple, rows), key=repr)
 
 
 def run(routed, sink, tmp_path, **options):
-    query = bl.run_detection(routed, sink, str(tmp_path / "progress"), available_now=True, **options)
+    checkpoint = str(tmp_path / "progress")
+    query = bl.run_detection(routed, sink, checkpoint, available_now=True, **options)
     query.awaitTermination()
     return query
 
 
 def test_stream_equals_batch(spark, feed, tmp_path):
     target = str(tmp_path / "out")
-    query = run(bl.route_detect(feed.stream(max_files_per_trigger=1), rules()), bl.FileSink(target), tmp_path)
+    routed = bl.route_detect(feed.stream(max_files_per_trigger=1), rules())
+    query = run(routed, bl.FileSink(target), tmp_path)
     assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) == 2
     assert content(spark.read.parquet(target)) == content(bl.route_detect(feed.table(), rules()))
 
@@ -128,8 +129,9 @@ def test_failed_batch_is_done_again_without_repeats(spark, feed, tmp_path):
 def test_interval_trigger(spark, feed, tmp_path):
     target = str(tmp_path / "out")
     routed = bl.route_detect(feed.stream(), rules())
+    checkpoint = str(tmp_path / "progress")
     query = bl.run_detection(
-        routed, bl.FileSink(target), str(tmp_path / "progress"), interval="1 second", name="detection"
+        routed, bl.FileSink(target), checkpoint, interval="1 second", name="detection"
     )
     query.processAllAvailable()
     assert query.name == "detection" and query.isActive
