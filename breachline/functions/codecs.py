@@ -24,6 +24,7 @@ _SLICE_BYTES = 32 << 20
 _CELL_BYTES = (1 << 31) - 64
 
 _GZIP = 31  # zlib's window setting for the gzip container
+_GZIP_LEVEL = 4  # two to three times as fast as the usual 6, for a few percent more bytes
 
 # Container magic and header length of the stream variant of snappy.
 _SNAPPY_STREAM_MAGIC = b"\x82SNAPPY\x00"
@@ -110,7 +111,7 @@ def _gunzip(block: bytes) -> bytes | None:
 
 
 def _gzip(data: bytes) -> bytes:
-    return zlib.compress(data, wbits=_GZIP)
+    return zlib.compress(data, _GZIP_LEVEL, wbits=_GZIP)
 
 
 def _unsnap(data: bytes) -> bytes | None:

@@ -129,7 +129,7 @@ def quarantine_of(outcomes: DataFrame) -> DataFrame:
 
 
 def _field_names(fields: str) -> list[str]:
-    names = StructType.fromDDL(fields).names
+    names = StructType.fromDDL(fields).names if fields else []
     taken = RESERVED.intersection(name.lower() for name in names)
     if taken:
         raise ValueError(f"typed fields may not be named {', '.join(sorted(taken))}")

@@ -159,7 +159,8 @@ def _promote_missing(spark, sf_dir):
     )
     published = encode_events(promote(pack_table(rows, "gzip")), codec="gzip")
     again = _reread(published, PUBLISHED, "gzip")
-    return again.select("event_id", F.col("violations")[0]["policyId"].alias("policy_id"))
+    policy = F.col("violations")[0]["policyId"]
+    return again.select("event_id", F.coalesce(policy, F.lit(-1)).alias("policy_id"))
 
 
 def _promote_republish(spark, sf_dir):
@@ -300,7 +301,8 @@ def _stream_two_sinks(spark, sf_dir):
         lambda stream: route_detect(stream, rules, fields=PAGE),
         quarantine_sink=FileSink(bad),
     )
-    columns = ("output", F.col("offset").alias("page_id"), "reason")
+    reason = F.coalesce("reason", F.lit("")).alias("reason")
+    columns = ("output", F.col("offset").alias("page_id"), reason)
     flagged = spark.read.parquet(target).select(*columns)
     return flagged.unionByName(spark.read.parquet(bad).select(*columns))
 
@@ -392,7 +394,8 @@ FROM pages WHERE length(url) > 50""",
 SELECT count(event_id) AS decoded, CAST(0 AS BIGINT) AS violating FROM events""",
     "promote_custom": f"SELECT event_id, {_CUSTOM_SQL} AS policy_id FROM events",
     "promote_missing": f"""
-SELECT event_id, CASE WHEN event_type = 'view' THEN {_CUSTOM_SQL} END AS policy_id FROM events""",
+SELECT event_id, CASE WHEN event_type = 'view' THEN {_CUSTOM_SQL} ELSE -1 END AS policy_id
+FROM events""",
     "promote_republish": f"""
 SELECT event_id, event_type, user_id, value, {_CUSTOM_SQL} AS policy_id FROM events""",
     "republish_roundtrip": _PUBLISHED_SQL,
@@ -412,6 +415,6 @@ UNION ALL SELECT 'quarantine', page_id, pos FROM ({_DAMAGE_SQL})""",
     "stream_promote": f"""
 SELECT event_id, event_type, user_id, value, {_CUSTOM_SQL} AS policy_id FROM events""",
     "stream_two_sinks": f"""
-SELECT 'violations' AS output, page_id, CAST(NULL AS VARCHAR) AS reason {_FLAGGED_SQL}
+SELECT 'violations' AS output, page_id, '' AS reason {_FLAGGED_SQL}
 UNION ALL SELECT 'quarantine', page_id, reason FROM ({_DAMAGE_SQL})""",
 }

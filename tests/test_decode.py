@@ -135,6 +135,8 @@ def test_typed_fields(spark):
     rows = bl.decode_events(texts(spark, text), fields).collect()
     assert [(r.n, r.u) for r in rows] == [(5, "7"), (None, '{"x":1}'), (None, None), (1, None)]
     assert rows[3].d.e == [2, 3]
+    assert "n" not in bl.decode_events(texts(spark, text), "").columns
+    assert bl.decode_events(texts(spark, text, "[1]"), "").count() == 4
     with pytest.raises(ValueError, match="offset"):
         bl.decode_events(texts(spark, text), "Offset bigint")
 
