@@ -3,6 +3,7 @@
 from .codecs import CODECS, compress, decompress
 from .events import (
     custom_violations,
+    event_body,
     event_list,
     named_violations,
     typed_fields,
@@ -15,6 +16,7 @@ __all__ = [
     "compress",
     "custom_violations",
     "decompress",
+    "event_body",
     "event_list",
     "named_violations",
     "typed_fields",

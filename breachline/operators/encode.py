@@ -12,6 +12,7 @@ from pyspark.sql.types import VariantType
 from ..functions.codecs import compress, compressor
 from ..functions.events import (
     custom_violations,
+    event_body,
     named_violations,
     with_violations_json,
 )
@@ -32,16 +33,14 @@ _BATCH_BYTES = 16 << 20
 
 def event_payloads(events: DataFrame, names: FieldNames = DEFAULT_NAMES) -> DataFrame:
     """Add `payload`, the event's JSON text with `violations` put into it."""
-    if isinstance(events.schema["violations"].dataType, VariantType):
-        found = F.col("violations")
-    else:
-        found = named_violations(F.col("violations"), names)
+    found = F.col("violations")
+    is_variant = isinstance(events.schema["violations"].dataType, VariantType)
+    if not is_variant:
+        found = named_violations(found, names)
     # `_body` is a column of its own so that the event is written once, not per use.
-    return (
-        events.withColumn("_body", F.to_json("event"))
-        .withColumn("payload", with_violations_json(F.col("event"), F.col("_body"), found, names))
-        .drop("_body")
-    )
+    written = events.withColumn("_body", event_body(F.col("event")))
+    payload = with_violations_json(F.col("event"), F.col("_body"), found, names, is_variant)
+    return written.withColumn("payload", payload).drop("_body")
 
 
 def encode_events(
@@ -161,13 +160,12 @@ def route_promoted_lists(
     written = lists.select(
         *COORDINATES, "reason", "raw", F.transform("events", _part).alias("parts")
     )
-    # Written JSON starts with a brace exactly when it is an object.
     parts = written.select(
         *COORDINATES,
         "reason",
         "raw",
-        F.filter("parts", lambda p: F.startswith(p["body"], F.lit("{"))).alias("good"),
-        F.filter("parts", lambda p: ~F.startswith(p["body"], F.lit("{"))).alias("stray"),
+        F.filter("parts", lambda p: p["body"].isNotNull()).alias("good"),
+        F.filter("parts", lambda p: p["body"].isNull()).alias("stray"),
     )
     promoted = F.transform(
         "good",
@@ -192,7 +190,7 @@ def route_promoted_lists(
                 lambda p: _row(
                     QUARANTINE,
                     pos=p["pos"],
-                    raw=p["body"].cast("binary"),
+                    raw=F.to_json(p["event"]).cast("binary"),
                     reason=F.lit(NOT_AN_OBJECT),
                 ),
             ),
@@ -205,8 +203,8 @@ def route_promoted_lists(
 
 
 def _part(event: Column, pos: Column) -> Column:
-    body = F.to_json(event)
-    return F.struct(pos.alias("pos"), event.alias("event"), body.alias("body"))
+    body = event_body(event).alias("body")
+    return F.struct(pos.alias("pos"), event.alias("event"), body)
 
 
 def _row(
