@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, mixing, token_counts
+from . import language_id, line_dedup, mixing, simhash, token_counts
 
 VOCABULARY = "piece_bpe_32k.model"
 
@@ -17,6 +17,29 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, and the smallest id in its group."""
+    marked = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    smallest = marked.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    printed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
+    return marked.join(smallest, "group").select("doc_id", printed, "component_id")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the later copies of repeated line runs."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
+    rows = documents.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(n_lines))
+    gone = F.aggregate("deleted_runs", F.lit(0), lambda n, r: n + r["e"] - r["s"])
+    return line_dedup.dedup_lines(rows).select(
+        "doc_id",
+        F.col("n_lines").cast("long").alias("n_lines"),
+        gone.cast("long").alias("n_deleted"),
+        F.size("deleted_runs").cast("long").alias("n_runs"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     documents = _table(spark, sf_dir, "documents")
@@ -47,12 +70,56 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
+    "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_mixing": op6_mixing,
     "op7_token_counts": op7_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": r"""
+WITH split AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM documents WHERE text IS NOT NULL
+), ranked AS (
+    SELECT doc_id, pos, line, md5(line) AS r,
+           len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w
+    FROM split
+), k0 AS (SELECT *, r AS r0, w AS w0 FROM ranked),
+k1 AS (SELECT *, md5(r0 || lead(r0, 1) OVER d) AS r1, w0 + lead(w0, 1) OVER d AS w1
+       FROM k0 WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+k2 AS (SELECT *, md5(r1 || lead(r1, 2) OVER d) AS r2, w1 + lead(w1, 2) OVER d AS w2
+       FROM k1 WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+k3 AS (SELECT *, md5(r2 || lead(r2, 4) OVER d) AS r3, w2 + lead(w2, 4) OVER d AS w3
+       FROM k2 WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+found AS (
+    SELECT doc_id, pos, line,
+           w0 >= 8 AND row_number() OVER (PARTITION BY r0 ORDER BY doc_id, pos) > 1 AS h0,
+           w1 >= 8 AND row_number() OVER (PARTITION BY r1 ORDER BY doc_id, pos) > 1 AS h1,
+           w2 >= 8 AND row_number() OVER (PARTITION BY r2 ORDER BY doc_id, pos) > 1 AS h2,
+           w3 >= 8 AND row_number() OVER (PARTITION BY r3 ORDER BY doc_id, pos) > 1 AS h3
+    FROM k3
+), marked AS (
+    SELECT doc_id, pos, line, coalesce(bool_or(h0) OVER (d ROWS CURRENT ROW), false)
+        OR coalesce(bool_or(h1) OVER (d ROWS 1 PRECEDING), false)
+        OR coalesce(bool_or(h2) OVER (d ROWS 3 PRECEDING), false)
+        OR coalesce(bool_or(h3) OVER (d ROWS 7 PRECEDING), false) AS gone
+    FROM found WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
+), edged AS (
+    SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS begins
+    FROM marked
+), kept AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
+           count(*) FILTER (begins) AS n_runs,
+           coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS rest
+    FROM edged GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted,
+       coalesce(n_runs, 0) AS n_runs, sha256(rest) AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id)
+""",
     "op6_mixing": r"""
 WITH sized AS (
     SELECT doc_id, source, coalesce(md5(doc_id::VARCHAR), repeat('0', 32)) AS o,
