@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, line_dedup, mixing, simhash, token_counts
+from . import decontamination, html_extraction, language_id, line_dedup, mixing, simhash, token_counts
 
 VOCABULARY = "piece_bpe_32k.model"
 
@@ -69,12 +69,31 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that leaks into a document, and by how many edits."""
+    found = decontamination.find_leaks(
+        _table(spark, sf_dir, "documents").select("doc_id", "text"),
+        _table(spark, sf_dir, "benchmark"),
+    )
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id", "leak.item_id", "leak.edits"
+    )
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extraction.extract_pages(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_mixing": op6_mixing,
     "op7_token_counts": op7_token_counts,
+    "op8_decontamination": op8_decontamination,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE_SQL: dict[str, str] = {
