@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extraction, language_id, line_dedup, mixing, simhash, token_counts
+from . import decontamination, html_extraction, language_id, line_dedup, mixing, quality, simhash, token_counts
 
 VOCABULARY = "piece_bpe_32k.model"
 
@@ -80,6 +80,15 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, and whether to keep it."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_documents(documents)
+    return scored.select(
+        "doc_id", "weak_label", "quality", (F.col("quality") >= 0.5).alias("keep")
+    )
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     found = html_extraction.extract_pages(_table(spark, sf_dir, "pages"))
@@ -93,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": op6_mixing,
     "op7_token_counts": op7_token_counts,
     "op8_decontamination": op8_decontamination,
+    "op9_quality": op9_quality,
     "op10_html_extraction": op10_html_extraction,
 }
 
