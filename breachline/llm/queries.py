@@ -8,7 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extraction, language_id, line_dedup, mixing, quality, simhash, token_counts
+from . import (
+    decontamination,
+    html_extraction,
+    language_id,
+    line_dedup,
+    mixing,
+    quality,
+    simhash,
+    suffix_dedup,
+    token_counts,
+)
 
 VOCABULARY = "piece_bpe_32k.model"
 
@@ -25,6 +35,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.join(smallest, "group").select("doc_id", printed, "component_id")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 400 bytes that occur elsewhere."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    return suffix_dedup.remove_repeats(documents).select(
+        "doc_id", size, "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the later copies of repeated line runs."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,6 +116,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_mixing": op6_mixing,
