@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontamination,
+    embedding_dedup,
     html_extraction,
     language_id,
     line_dedup,
@@ -44,6 +45,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embedding_dedup.near_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the later copies of repeated line runs."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -117,6 +123,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_mixing": op6_mixing,
