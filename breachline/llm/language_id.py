@@ -11,6 +11,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import hide
+
 _LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
@@ -127,12 +129,11 @@ def identify(
     any that have the names of the three added ones are replaced. Rows stay where they are.
     """
     model = documents.sparkSession.sparkContext.broadcast(learn(labelled, settings))
-    added = ("lang_pred", "lang_margin", "lang_rejected")
-    kept = [c for c in documents.columns if c not in added]
-    judged = documents.select(*kept, language(F.col("text"), model, settings).alias("_judged"))
+    carried, restored = hide(documents, ("text",), ("lang_pred", "lang_margin", "lang_rejected"))
+    judged = documents.select(*carried, language(F.col("text"), model, settings).alias("_judged"))
     found, by = F.col("_judged.lang"), F.col("_judged.margin")
     return judged.select(
-        *kept,
+        *restored.values(),
         found.alias("lang_pred"),
         by.alias("lang_margin"),
         ((found == UNKNOWN) | (by < margin)).alias("lang_rejected"),

@@ -63,7 +63,7 @@ def mix(
     One row per document: `doc_id`, `source`, `size` (its words), `source_size`, `target`, `taken`
     (words, repeats counted) and `passes`, an array of structs `words` and `position`, one for each
     time the document is read; a pass that takes nothing is left out. `carry` names further columns
-    to keep.
+    to keep, which are in a struct, `carried`, so that they clash with none.
 
     A source is laid out in the order of the MD5 of its ids, over and over, up to its target,
     rounded to a word. So whole documents are taken but for the one that the target cuts, of which
@@ -88,7 +88,7 @@ def mix(
             "source",
             F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("0" * 32)).alias("_order"),
             word_count(F.col("text")).alias("size"),
-            *[F.col(c).alias(f"_carry_{i}") for i, c in enumerate(carry)],
+            *([F.struct(*carry).alias("carried")] if carry else []),
         )
     ).withColumn("_bucket", F.substring("_order", 1, _BUCKET_DIGITS))
 
@@ -136,7 +136,7 @@ def mix(
         "target",
         taken.alias("taken"),
         "passes",
-        *[F.col(f"_carry_{i}").alias(c) for i, c in enumerate(carry)],
+        *(["carried"] if carry else []),
     )
 
 

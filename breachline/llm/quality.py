@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import hide
+
 _SIGNALS = ["words", "letters", "upper", "symbols", "marks", "repeats", "bars"]
 #: Characters of a text that are looked at together, to bound memory.
 _SLICE = 1 << 20
@@ -218,7 +220,7 @@ def score_documents(
     rules = labellers() if rules is None else dict(rules)
     spark = documents.sparkSession
     pattern = F.array(*[v.cast("tinyint") for v in rules.values()])
-    kept = [c for c in documents.columns if c not in ("weak_label", "quality")]
+    carried, restored = hide(documents, ("text",), ("weak_label", "quality"))
     text = F.col("text")
 
     def voted(frame: DataFrame, *columns: Column | str) -> DataFrame:
@@ -262,11 +264,10 @@ def score_documents(
                 out.append(1 / (1 + np.exp(-np.clip(weights[at] @ value + bias, -30, 30))))
             yield pd.Series(out, dtype="float64")
 
-    scored = documents.select(*[F.col(c).alias(f"_kept_{i}") for i, c in enumerate(kept)], "text")
-    names = [f"_kept_{i}" for i in range(len(kept))]
-    scored = voted(scored, *names, judge(text).alias("_judged"))
+    hidden = documents.select(*carried)
+    scored = voted(hidden, *hidden.columns, judge(text).alias("_judged"))
     return scored.select(
-        *[F.col(n).alias(c) for n, c in zip(names, kept)],
+        *restored.values(),
         weak.alias("weak_label"),
         F.when(F.col("letters") == 0, 0.0).otherwise(F.col("_judged")).alias("quality"),
     )

@@ -51,6 +51,26 @@ def release(frame: DataFrame) -> None:
             hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def hide(
+    frame: DataFrame, plain: tuple[str, ...] = (), without: tuple[str, ...] = ()
+) -> tuple[list[Column], dict[str, Column]]:
+    """Columns to carry through an operator whatever their names: to select, and to get back.
+
+    All but the `plain` ones, which the operator reads, go under names of this module's own, so that
+    none clashes with a helper column. Those in `without` are dropped.
+    """
+    carried, restored = [], {}
+    for i, name in enumerate(frame.columns):
+        if name in plain:
+            carried.append(F.col(name))
+            restored[name] = F.col(name)
+        elif name not in without:
+            quoted = name.replace("`", "``")
+            carried.append(F.col(f"`{quoted}`").alias(f"_kept_{i}"))
+            restored[name] = F.col(f"_kept_{i}").alias(name)
+    return carried, restored
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null counts as none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

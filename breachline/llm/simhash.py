@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, stage
+from .shared import components, hide, stage
 
 _BITS = 64
 #: Bytes of a text that are hashed at a time, to bound memory.
@@ -266,8 +266,9 @@ def keep_first(documents: DataFrame, distance: int = 4, shingle: int = 4) -> Dat
 
     A null id comes last. Of rows with equal ids one stays, so of equal rows one.
     """
-    rows = stage(documents.withColumn("_row", F.monotonically_increasing_id()))
+    carried, restored = hide(documents, ("doc_id", "text"))
+    rows = stage(documents.select(*carried, F.monotonically_increasing_id().alias("_row")))
     grouped = near_duplicates(rows, distance, shingle, keep=("_row", "doc_id"))
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
     first = grouped.groupBy("group").agg(best["_row"].alias("_row")).select("_row")
-    return rows.join(first, "_row", "left_semi").drop("_row")
+    return rows.join(first, "_row", "left_semi").select(*restored.values())
