@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on the plain tables."""
+"""Every registered query of the core against its SQL on the plain tables."""
 
 import os
 
@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from breachline.plans.table_queries import ORACLE_SQL, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,11 +19,14 @@ def duck():
     return db
 
 
-def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+def test_every_query_is_registered_and_has_sql():
+    assert QUERIES.keys() == ORACLE_SQL.keys()
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLE_SQL.items() <= contract.oracle_sql().items()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, duck, name):
     result = contract.queries()[name](spark, SF)
     expected = duck.sql(contract.oracle_sql()[name])
