@@ -16,8 +16,12 @@ from .shared import stage
 _SLICE = 1 << 22
 #: Symbols that one index holds; whole groups are put together up to this.
 _INDEX = 1 << 20
-#: Distinct pieces around one anchor beyond which they are keyed by string instead of indexed.
+#: Distinct pieces of one group beyond which they are dealt anew by more of their text.
 CROWD = 256
+#: Starts that a piece holds when crowded groups are dealt anew, and again; at one, groups are equal.
+_FINER = (16, 1)
+#: Hashes are compared without these bits, which hold the place to settle ties.
+_PLACE = np.uint64((1 << 23) - 1)
 _MULTIPLY = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -40,6 +44,10 @@ def _minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: out.size - rest], out[rest:]) if rest else out
 
 
+def _gram(length: int) -> int:
+    return 1 << max(0, (length // 4).bit_length() - 1)
+
+
 def pieces_of(text: bytes, length: int) -> Iterator[tuple[int, int, int, int]]:
     """Pieces of a text: anchor, digest, first start, number of starts.
 
@@ -50,8 +58,8 @@ def pieces_of(text: bytes, length: int) -> Iterator[tuple[int, int, int, int]]:
     """
     import xxhash
 
-    gram = 1 << max(0, (length // 4).bit_length() - 1)
-    width, low = length - gram + 1, np.uint64((1 << 23) - 1)
+    gram = _gram(length)
+    width, low = length - gram + 1, _PLACE
     for base in range(0, len(text) - length + 1, _SLICE):
         part = text[base : base + _SLICE + length - 1]
         value = _hashes(np.frombuffer(part, np.uint8), gram)
@@ -209,8 +217,8 @@ def repeated_strings(texts: DataFrame, length: int, crowd: int = CROWD) -> DataF
     Pieces bring equal strings to the same anchor, so the anchor is the shard key. Anchors seen once
     are done. Pieces equal as a whole are folded and counted; those seen twice or more repeat in
     full. Where an anchor has several different pieces these are fetched, once each, and indexed.
-    An anchor in a crowd of pieces, such as a passage that ends differently everywhere, would be
-    one shard too large; its strings are keyed by their digests and counted, which spreads them.
+    A crowd of pieces around one anchor, as where a passage ends differently everywhere, would be
+    one shard too large, and is dealt anew: see `_finer`.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,20 +273,10 @@ def repeated_strings(texts: DataFrame, length: int, crowd: int = CROWD) -> DataF
     )
     fetched = stage(fetched.select("w.*"))
 
-    runs = "array<struct<s:int,e:int>>"
-    whole = F.array(F.struct(F.lit(0).alias("s"), F.col("n").alias("e"))).cast(runs)
-    full = kinds.where("copies > 1").select("anchor", "digest", whole.alias("runs"))
-    indexed = (
-        fetched.where(F.col("kinds") <= crowd)
-        .select("anchor", "digest", "piece")
-        .repartition("anchor")
-        .sortWithinPartitions("anchor")
-        .mapInArrow(lambda b: _index_shards(b, length), f"anchor long, digest long, runs {runs}")
-    )
-    crowded = _by_string(fetched.where(F.col("kinds") > crowd), length)
-    # A piece seen twice is in full; its row from the index would only repeat that.
+    full = kinds.where("copies > 1").select("anchor", "digest", _whole().alias("runs"))
+    # A piece seen twice is in full; what the index says of it would only repeat that.
     single = kinds.where("copies = 1").select("anchor", "digest")
-    partial = indexed.where(F.size("runs") > 0).union(crowded).join(single, ["anchor", "digest"])
+    partial = _partly(fetched, length, crowd, _FINER).join(single, ["anchor", "digest"])
     results = full.union(partial)
     where = pieces.select("_id", "_text", "anchor", "digest", "at").distinct()
     located = where.join(results, ["anchor", "digest"]).select(
@@ -292,36 +290,92 @@ def repeated_strings(texts: DataFrame, length: int, crowd: int = CROWD) -> DataF
     return located.groupBy("_id", "_text").agg(F.flatten(F.collect_list("runs")).alias("starts"))
 
 
-def _by_string(pieces: DataFrame, length: int) -> DataFrame:
-    """Repeated starts of crowded pieces, by counting the digests of all their strings."""
+_RUNS = "array<struct<s:int,e:int>>"
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
 
-        for batch in batches:
-            for a, d, n, piece in zip(*(batch.column(c).to_pylist() for c in range(4))):
-                count = len(piece) - length + 1
-                hashes = [xxhash.xxh128_digest(piece[i : i + length]) for i in range(count)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([a] * count, pa.int64()),
-                        pa.array([d] * count, pa.int64()),
-                        pa.array(range(count), pa.int32()),
-                        pa.array([n] * count, pa.int64()),
-                        pa.array(hashes, pa.binary()),
-                    ],
-                    names=["anchor", "digest", "start", "copies", "string"],
-                )
+def _whole() -> Column:
+    return F.array(F.struct(F.lit(0).alias("s"), F.col("n").alias("e"))).cast(_RUNS)
+
+
+def _partly(pieces: DataFrame, length: int, crowd: int, steps: tuple[int, ...]) -> DataFrame:
+    """Repeated starts, `runs`, of different pieces by `anchor` and `digest`, from an index of each group."""
+    indexed = (
+        pieces.where(F.col("kinds") <= crowd)
+        .select("anchor", "digest", "piece")
+        .repartition("anchor")
+        .sortWithinPartitions("anchor")
+        .mapInArrow(lambda b: _index_shards(b, length), f"anchor long, digest long, runs {_RUNS}")
+        .where(F.size("runs") > 0)
+    )
+    return indexed.union(_finer(pieces.where(F.col("kinds") > crowd), length, crowd, steps)) if steps else indexed
+
+
+def _finer(pieces: DataFrame, length: int, crowd: int, steps: tuple[int, ...]) -> DataFrame:
+    """Repeated starts of crowded pieces, cut into smaller ones around more of their text.
 
-    keyed = pieces.select("anchor", "digest", "copies", "piece").mapInArrow(
-        strings, "anchor long, digest long, start int, copies long, string binary"
+    A smaller piece holds `steps[0]` starts, counted from the anchor so that equal strings fall in
+    the same one. All its strings contain a core, nearly as long as a string, which is the key of
+    its new group. Few groups stay crowded: those whose core reaches just to where texts part. With
+    one start to a piece the core is the string itself, and a group is one kind, which is counted.
+    """
+    step = steps[0]
+
+    def smaller(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (a, d, copies, *part)
+                for a, d, copies, piece in zip(*(batch.column(c).to_pylist() for c in range(4)))
+                for part in _cores(piece, length, step)
+            ]
+            kinds = [pa.int64()] * 3 + [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+            names = ["anchor", "digest", "copies", "from", "n", "core", "part", "piece"]
+            columns = list(zip(*rows)) if rows else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    cut = stage(
+        pieces.select("anchor", "digest", "copies", "piece").mapInArrow(
+            smaller,
+            "anchor long, digest long, copies long, from int, n int, core long, part long, piece binary",
+        )
     )
-    keyed = stage(keyed)
-    repeated = keyed.groupBy("string").agg(F.sum("copies").alias("total")).where("total > 1")
-    found = keyed.join(repeated.select("string"), "string").groupBy("anchor", "digest").agg(
-        F.collect_list(F.struct(F.col("start").alias("s"), (F.col("start") + 1).alias("e"))).alias("runs")
+    kinds = cut.groupBy("core", "part").agg(
+        F.sum("copies").alias("copies"), F.max("n").alias("n"), F.max("piece").alias("piece")
     )
-    return found.select("anchor", "digest", "runs")
+    kinds = stage(kinds)
+    variety = kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    renamed = {"core": "anchor", "part": "digest"}
+    full = kinds.where("copies > 1").select("core", "part", _whole().alias("runs"))
+    if len(steps) > 1:
+        varied = kinds.join(variety, "core").withColumnsRenamed(renamed)
+        found = _partly(varied, length, crowd, steps[1:]).toDF("core", "part", "runs")
+        single = kinds.where("copies = 1").select("core", "part")
+        full = full.union(found.join(single, ["core", "part"]))
+    moved = F.transform(
+        "runs", lambda r: F.struct((r["s"] + F.col("from")).alias("s"), (r["e"] + F.col("from")).alias("e"))
+    )
+    back = cut.select("anchor", "digest", "from", "core", "part").join(full, ["core", "part"])
+    return back.groupBy("anchor", "digest").agg(F.flatten(F.collect_list(moved)).alias("runs"))
+
+
+def _cores(piece: bytes, length: int, step: int) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """Smaller pieces: first start, starts, core and digest as numbers, and bytes."""
+    import xxhash
+
+    place = 0
+    if step > 1:
+        value = _hashes(np.frombuffer(piece[:length], np.uint8), _gram(length))
+        place = int((value & ~_PLACE).argmin())
+    last = len(piece) - length
+    start = 0
+    while start <= last:
+        # Starts whose distance to the anchor falls in one interval of `step`.
+        low = (place - start) // step * step
+        stop = min(last, place - low) + 1
+        part = piece[start : stop - 1 + length]
+        core = piece[place - low : place - low - step + 1 + length]
+        keys = [xxhash.xxh64_intdigest(x, seed) for x, seed in ((core, 1), (part, 2))]
+        yield start, stop - start, *[k - (1 << 64) if k >> 63 else k for k in keys], part
+        start = stop
 
 
 def _identity(text: Column) -> list[Column]:
