@@ -15,7 +15,7 @@ from .shared import stage
 #: Bytes of a text that are cut into pieces at a time, to bound memory.
 _SLICE = 1 << 22
 #: Symbols that one index holds; whole groups are put together up to this.
-_INDEX = 1 << 20
+_INDEX = 1 << 18
 #: Distinct pieces of one group beyond which they are dealt anew by more of their text.
 CROWD = 256
 #: Starts that a piece holds when crowded groups are dealt anew, and again; at one, groups are equal.
@@ -48,8 +48,8 @@ def _gram(length: int) -> int:
     return 1 << max(0, (length // 4).bit_length() - 1)
 
 
-def pieces_of(text: bytes, length: int) -> Iterator[tuple[int, int, int, int]]:
-    """Pieces of a text: anchor, digest, first start, number of starts.
+def pieces_of(text: bytes, length: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """Pieces of a text: anchor, digest, first start, number of starts, place of the anchor in it.
 
     The anchor of a string of `length` bytes is the part of it, an eighth to a quarter as long, with
     the least hash, the leftmost of equals. It depends on the string alone, so equal strings have
@@ -68,31 +68,37 @@ def pieces_of(text: bytes, length: int) -> Iterator[tuple[int, int, int, int]]:
         start = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
         count = np.diff(np.append(start, at.size)).tolist()
         anchor = value[at[start]].view(np.int64).tolist()
-        for a, s, n in zip(anchor, start.tolist(), count):
+        place = (at[start] - start).tolist()
+        for a, s, n, p in zip(anchor, start.tolist(), count, place):
             digest = xxhash.xxh64_intdigest(part[s : s + n - 1 + length])
-            yield a, digest - (1 << 64) if digest >> 63 else digest, base + s, n
+            yield a, digest - (1 << 64) if digest >> 63 else digest, base + s, n, p
 
 
-def repeated_starts(pieces: list[bytes], length: int) -> list[np.ndarray]:
-    """For each piece the places where a string of `length` bytes starts that also starts elsewhere.
+def symbols(text: bytes) -> np.ndarray:
+    """Bytes as symbols of an index, which are above zero."""
+    return np.frombuffer(text, np.uint8).astype(np.int64) + 1
 
-    The suffixes of all pieces are sorted by their first `length` bytes or more. Their
+
+def repeated_starts(pieces: list[np.ndarray], length: int) -> list[np.ndarray]:
+    """For each piece the places where a string of `length` symbols starts that also starts elsewhere.
+
+    The suffixes of all pieces are sorted by their first `length` symbols or more. Their
     Burrows-Wheeler transform then gives the common prefixes of neighbours by increasing value: the
-    interval of suffixes that begin with some string is extended backward by each byte that precedes
-    it, breadth first, so in round `v` the intervals of strings of `v` bytes end where neighbours
-    share `v - 1`. An end that is known already is not followed. Rounds stop at `length`: what is not
-    known by then is as long or longer. Every piece ends in a symbol of its own, which is never
-    extended by, so nothing matches across pieces.
+    interval of suffixes that begin with some string is extended backward by each symbol that
+    precedes it, breadth first, so in round `v` the intervals of strings of `v` symbols end where
+    neighbours share `v`. An end that is known already is not followed. Rounds stop at `length`:
+    what is not known by then is as long or longer. Every piece ends in a symbol of its own, which
+    is never extended by, so nothing matches across pieces.
     """
     size = np.array([len(p) + 1 for p in pieces])
     ends = np.cumsum(size) - 1
     text = np.zeros(int(size.sum()), np.int64)
     kept = np.ones(text.size, bool)
     kept[ends] = False
-    text[kept] = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64) + 1
+    text[kept] = np.concatenate(pieces)
     left = np.repeat(ends, size) - np.arange(text.size)
-    order = _sorted_suffixes(text, left, length)
-    known = _short_prefixes(text, order, length)
+    order, known = _sorted_suffixes(text, left, length)
+    _short_prefixes(text, order, known, length)
     n = text.size
     # known[k] tells of suffix k and the one before it; both start what they share.
     long = ~known[:n]
@@ -103,66 +109,85 @@ def repeated_starts(pieces: list[bytes], length: int) -> list[np.ndarray]:
     return [np.flatnonzero(m) for m in np.split(marked, ends[:-1] + 1)]
 
 
-def _sorted_suffixes(text: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
-    """Order of the suffixes by their first `length` symbols or more, by prefix doubling."""
-    n, depth = text.size, 6
-    key = np.zeros(n, np.int64)
-    for k in range(depth):
+#: Bits of a symbol, and how many fit in the key of the first sort.
+_BITS, _PACKED = 15, 4
+
+
+def _sorted_suffixes(text: np.ndarray, left: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the suffixes by their first `length` symbols or more, by prefix doubling.
+
+    Also, by entry `k`, whether suffixes `k - 1` and `k` differ within the first key already, whose
+    symbols are `length` at most. Suffixes that differ from all others leave the next rounds.
+    """
+    n, depth = text.size, min(_PACKED, length)
+    key = text.copy()
+    for k in range(1, depth):
         # Symbols after the end of a piece count as none.
-        key = (key << 9) | np.where(left >= k, np.append(text[k:], np.zeros(min(k, n), np.int64)), 0)
-    while True:
-        order = np.argsort(key)
-        held = key[order]
-        new = np.append(True, held[1:] != held[:-1])
-        # A suffix that reaches its end symbol differs from all others.
-        new |= left[order] < depth
-        new[1:] |= left[order[:-1]] < depth
-        if depth >= length or new.all():
-            return order
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        then = np.zeros(n, np.int64)
-        then[:-depth] = rank[depth:]
-        key = rank * (n + 1) + np.where(left >= depth, then, 0)
+        key <<= _BITS
+        if k < n:
+            key[: n - k] |= np.where(left[: n - k] >= k, text[k:], 0)
+    order = np.argsort(key).astype(np.int32)
+    held, reach = key[order], left[order]
+    new = np.ones(n + 1, bool)
+    # A suffix that reaches its end symbol differs from all others.
+    new[1:n] = (held[1:] != held[:-1]) | (reach[1:] < depth) | (reach[:-1] < depth)
+    known = new.copy()
+    rank = np.empty(n + length, np.int64)
+    while depth < length:
+        first = np.flatnonzero(new[:n])
+        rank[order] = np.repeat(first, np.diff(np.append(first, n)))
+        rest = np.flatnonzero(~(new[:n] & new[1:]))
+        if not rest.size:
+            break
+        some = order[rest]
+        key = rank[some] * n + np.where(left[some] >= depth, rank[np.minimum(some + depth, n - 1)], 0)
+        again = np.argsort(key)
+        order[rest] = some = some[again]
+        key, reach = key[again], left[some]
         depth *= 2
+        apart = np.ones(rest.size, bool)
+        apart[1:] = (key[1:] != key[:-1]) | (reach[1:] < depth) | (reach[:-1] < depth)
+        new[rest] |= apart
+    return order, known
+
 
+def _short_prefixes(text: np.ndarray, order: np.ndarray, known: np.ndarray, length: int) -> None:
+    """Mark in `known` the neighbours in the order that share fewer than `length` symbols.
 
-def _short_prefixes(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
-    """Which neighbours in the order share fewer than `length` symbols; entry `k` is `k - 1, k`."""
+    Entry `k` tells of `k - 1` and `k`; those that share less than the first key are marked before.
+    """
     n = text.size
-    before = text[order - 1]  # of the first suffix, the last end symbol
-    back = np.argsort(before, kind="stable")
-    follow = np.empty(n, np.int64)  # where the suffix that starts one symbol earlier stands
-    follow[back] = np.arange(n)
+    before = text[order - 1].astype(np.uint16)  # of the first suffix, the last end symbol
+    back = np.argsort(before, kind="stable").astype(np.int32)
+    follow = np.empty(n, np.int32)  # where the suffix that starts one symbol earlier stands
+    follow[back] = np.arange(n, dtype=np.int32)
     same = before[back[1:]] == before[back[:-1]]
-    earlier, later = np.full(n, -1), np.full(n, n)
+    earlier, later = np.full(n, -1, np.int32), np.full(n, n, np.int32)
     earlier[back[1:][same]] = back[:-1][same]
     later[back[:-1][same]] = back[1:][same]
-    known = np.zeros(n + 1, bool)
-    known[0] = known[n] = True
-
-    first = text[order]
-    start = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (first[1:] == 0)))
-    stop = np.append(start[1:], n)
-    known[stop] = True
-    for _ in range(1, length):
+    real = before > 0
+
+    start = np.flatnonzero(known[:n]).astype(np.int32)
+    stop = np.append(start[1:], np.int32(n))
+    for _ in range(min(_PACKED, length), length):
         # All places of the intervals, with the bounds of their own interval.
         count = stop - start
-        at = np.arange(count.sum()) + np.repeat(start - (np.cumsum(count) - count), count)
-        lower, upper = np.repeat(start, count), np.repeat(stop, count)
-        real = before[at] > 0
-        opens = at[real & (earlier[at] < lower)]
-        closes = at[real & (later[at] >= upper)]
-        if not opens.size:
-            break
-        # The first and the last of one symbol in one interval, in the order of where they lead.
-        start, stop = np.sort(follow[opens]), np.sort(follow[closes]) + 1
+        if count.max(initial=1) == 1:
+            at = start[real[start]]
+            start, stop = follow[at], follow[at] + 1
+        else:
+            shift = start - (np.cumsum(count, dtype=np.int32) - count)
+            at = np.arange(int(count.sum()), dtype=np.int32) + np.repeat(shift, count)
+            usable = real[at]
+            opens = at[usable & (earlier[at] < np.repeat(start, count))]
+            closes = at[usable & (later[at] >= np.repeat(stop, count))]
+            # First and last of one symbol in one interval, in the order of where they lead.
+            start, stop = np.sort(follow[opens]), np.sort(follow[closes]) + 1
         fresh = ~known[stop]
         start, stop = start[fresh], stop[fresh]
-        known[stop] = True
         if not start.size:
             break
-    return known
+        known[stop] = True
 
 
 def _runs(places: np.ndarray) -> list[dict[str, int]]:
@@ -174,39 +199,96 @@ def _runs(places: np.ndarray) -> list[dict[str, int]]:
     return [{"s": int(a), "e": int(b)} for a, b in zip(s, e)]
 
 
-def _index_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Repeated starts of pieces that come sorted by anchor; whole groups are indexed together."""
-    kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+def _parts(piece: bytes, place: int, length: int, step: int) -> Iterator[tuple[int, int, bytes, bytes, bytes]]:
+    """A piece cut by starts: first start, starts, what precedes the core, the core, what follows.
+
+    A part holds the starts whose distance to the anchor falls in one interval of `step`, so equal
+    strings are in parts at equal distances. All strings of a part contain its core.
+    """
+    last, start = len(piece) - length, 0
+    while start <= last:
+        low = (place - start) // step * step
+        stop = min(last, place - low) + 1
+        core, after = place - low, place - low - step + 1 + length
+        yield start, stop - start, piece[start:core], piece[core:after], piece[after : stop - 1 + length]
+        start = stop
+
+
+class _Shard:
+    """Pieces of whole groups, gathered until an index is worth while.
+
+    Pieces of a group are cut into parts. Parts with the same core may hold equal strings; in the
+    index the core, nearly as long as a string, stands as one symbol, and a string is as long as the
+    parts have starts. A part that is alone with its core repeats nowhere; equal parts repeat in full.
+    """
 
-    def indexed(rows: list[tuple]) -> pa.RecordBatch:
-        found = [_runs(p) for p in repeated_starts([r[2] for r in rows], length)]
+    def __init__(self, length: int):
+        self.length = length
+        self.step = max(1, min(32, length // 2))
+        self.rows: list[tuple] = []
+        self.runs: list[list[np.ndarray]] = []
+        self.texts: list[np.ndarray] = []
+        self.owners: list[list[tuple[int, int]]] = []
+        self.cores = self.size = 0
+
+    def add(self, group: list[tuple]) -> None:
+        by_core: dict[bytes, dict[tuple, list]] = {}
+        for anchor, digest, place, piece in group:
+            row = len(self.rows)
+            self.rows.append((anchor, digest))
+            self.runs.append([])
+            for start, n, left, core, right in _parts(piece, place, self.length, self.step):
+                by_core.setdefault(core, {}).setdefault((left, right, n), []).append((row, start))
+        for parts in by_core.values():
+            if len(parts) > 1:
+                self.cores += 1
+            for (left, right, n), owners in parts.items():
+                if len(owners) > 1:
+                    for row, start in owners:
+                        self.runs[row].append(np.arange(start, start + n))
+                if len(parts) > 1:
+                    core = np.array([256 + self.cores])
+                    self.texts.append(np.concatenate([symbols(left), core, symbols(right)]))
+                    self.owners.append(owners)
+                    self.size += len(left) + len(right) + 2
+
+    @property
+    def full(self) -> bool:
+        return self.size > _INDEX or len(self.rows) > 20_000 or self.cores > 15_000
+
+    def result(self) -> pa.RecordBatch:
+        if self.texts:
+            for owners, found in zip(self.owners, repeated_starts(self.texts, self.step)):
+                for row, start in owners if found.size else ():
+                    self.runs[row].append(found + start)
+        places = [np.unique(np.concatenate(r)) if r else np.empty(0, int) for r in self.runs]
+        kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([r[0] for r in rows], pa.int64()),
-                pa.array([r[1] for r in rows], pa.int64()),
-                pa.array(found, kind),
+                pa.array([r[0] for r in self.rows], pa.int64()),
+                pa.array([r[1] for r in self.rows], pa.int64()),
+                pa.array([_runs(p) for p in places], kind),
             ],
             names=["anchor", "digest", "runs"],
         )
 
-    waiting: list[tuple] = []
-    group: list[tuple] = []
-    held = own = 0
+
+def _index_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Repeated starts of pieces that come sorted by anchor; whole groups are indexed together."""
+    shard, group = _Shard(length), []
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in range(3))):
+        for row in zip(*(batch.column(c).to_pylist() for c in range(4))):
             if group and group[0][0] != row[0]:
-                if held and held + own > _INDEX:
-                    yield indexed(waiting)
-                    waiting, held = [], 0
-                waiting, held = waiting + group if waiting else group, held + own
-                group, own = [], 0
+                shard.add(group)
+                group = []
+                if shard.full:
+                    yield shard.result()
+                    shard = _Shard(length)
             group.append(row)
-            own += len(row[2])
-    if held and held + own > _INDEX:
-        yield indexed(waiting)
-        waiting = []
-    if waiting or group:
-        yield indexed(waiting + group)
+    if group:
+        shard.add(group)
+    if shard.rows:
+        yield shard.result()
 
 
 def repeated_strings(texts: DataFrame, length: int, crowd: int = CROWD) -> DataFrame:
@@ -231,14 +313,14 @@ def repeated_strings(texts: DataFrame, length: int, crowd: int = CROWD) -> DataF
             for k in range(0, len(rows), 50_000):
                 columns = [pa.array(c, pa.int64()) for c in zip(*rows[k : k + 50_000])]
                 yield pa.RecordBatch.from_arrays(
-                    columns, names=["_id", "_text", "anchor", "digest", "at", "n"]
+                    columns, names=["_id", "_text", "anchor", "digest", "at", "n", "place"]
                 )
 
     long = texts.select("_id", "_text", "body").where(F.octet_length("body") >= length)
     cut_rows = long.mapInArrow(
-        cut, "_id long, _text long, anchor long, digest long, at long, n long"
+        cut, "_id long, _text long, anchor long, digest long, at long, n long, place long"
     )
-    pieces = stage(cut_rows.withColumns({"at": F.col("at").cast("int"), "n": F.col("n").cast("int")}))
+    pieces = stage(cut_rows.withColumns({c: F.col(c).cast("int") for c in ("at", "n", "place")}))
     anchors = pieces.groupBy("anchor").agg(F.count("*").alias("seen")).where("seen > 1")
     pieces = stage(pieces.join(anchors.select("anchor"), "anchor"))
 
@@ -246,6 +328,7 @@ def repeated_strings(texts: DataFrame, length: int, crowd: int = CROWD) -> DataF
         pieces.groupBy("anchor", "digest").agg(
             F.count("*").alias("copies"),
             F.min("n").alias("n"),
+            F.min("place").alias("place"),
             F.min("_text").alias("_text"),
             F.min_by("_id", "_text").alias("_id"),
             F.min_by("at", "_text").alias("at"),
@@ -254,7 +337,7 @@ def repeated_strings(texts: DataFrame, length: int, crowd: int = CROWD) -> DataF
     variety = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
     varied = kinds.join(variety.where("kinds > 1"), "anchor")
     wanted = varied.groupBy("_id", "_text").agg(
-        F.collect_list(F.struct("anchor", "digest", "copies", "kinds", "n", "at")).alias("wanted")
+        F.collect_list(F.struct("anchor", "digest", "copies", "kinds", "n", "at", "place")).alias("wanted")
     )
     bodies = long.groupBy("_id", "_text").agg(F.max("body").alias("body"))
     fetched = bodies.join(wanted, ["_id", "_text"]).select(
@@ -266,6 +349,7 @@ def repeated_strings(texts: DataFrame, length: int, crowd: int = CROWD) -> DataF
                     w["digest"].alias("digest"),
                     w["copies"].alias("copies"),
                     w["kinds"].alias("kinds"),
+                    w["place"].alias("place"),
                     F.substring(F.col("body"), w["at"] + 1, w["n"] + (length - 1)).alias("piece"),
                 ),
             )
@@ -301,7 +385,7 @@ def _partly(pieces: DataFrame, length: int, crowd: int, steps: tuple[int, ...])
     """Repeated starts, `runs`, of different pieces by `anchor` and `digest`, from an index of each group."""
     indexed = (
         pieces.where(F.col("kinds") <= crowd)
-        .select("anchor", "digest", "piece")
+        .select("anchor", "digest", "place", "piece")
         .repartition("anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(lambda b: _index_shards(b, length), f"anchor long, digest long, runs {_RUNS}")
@@ -324,22 +408,23 @@ def _finer(pieces: DataFrame, length: int, crowd: int, steps: tuple[int, ...]) -
         for batch in batches:
             rows = [
                 (a, d, copies, *part)
-                for a, d, copies, piece in zip(*(batch.column(c).to_pylist() for c in range(4)))
-                for part in _cores(piece, length, step)
+                for a, d, copies, place, piece in zip(*(batch.column(c).to_pylist() for c in range(5)))
+                for part in _cores(piece, place, length, step)
             ]
-            kinds = [pa.int64()] * 3 + [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["anchor", "digest", "copies", "from", "n", "core", "part", "piece"]
+            kinds = [pa.int64()] * 3 + [pa.int32()] * 3 + [pa.int64(), pa.int64(), pa.binary()]
+            names = ["anchor", "digest", "copies", "from", "n", "place", "core", "part", "piece"]
             columns = list(zip(*rows)) if rows else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     cut = stage(
-        pieces.select("anchor", "digest", "copies", "piece").mapInArrow(
+        pieces.select("anchor", "digest", "copies", "place", "piece").mapInArrow(
             smaller,
-            "anchor long, digest long, copies long, from int, n int, core long, part long, piece binary",
+            "anchor long, digest long, copies long, from int, n int, place int, core long, part long, "
+            "piece binary",
         )
     )
     kinds = cut.groupBy("core", "part").agg(
-        F.sum("copies").alias("copies"), F.max("n").alias("n"), F.max("piece").alias("piece")
+        F.sum("copies").alias("copies"), F.max("n").alias("n"), F.max("place").alias("place"), F.max("piece").alias("piece")
     )
     kinds = stage(kinds)
     variety = kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1")
@@ -357,25 +442,14 @@ def _finer(pieces: DataFrame, length: int, crowd: int, steps: tuple[int, ...]) -
     return back.groupBy("anchor", "digest").agg(F.flatten(F.collect_list(moved)).alias("runs"))
 
 
-def _cores(piece: bytes, length: int, step: int) -> Iterator[tuple[int, int, int, int, bytes]]:
-    """Smaller pieces: first start, starts, core and digest as numbers, and bytes."""
+def _cores(piece: bytes, place: int, length: int, step: int) -> Iterator[tuple]:
+    """Parts as smaller pieces: first start, starts, place of the anchor, core and digest, bytes."""
     import xxhash
 
-    place = 0
-    if step > 1:
-        value = _hashes(np.frombuffer(piece[:length], np.uint8), _gram(length))
-        place = int((value & ~_PLACE).argmin())
-    last = len(piece) - length
-    start = 0
-    while start <= last:
-        # Starts whose distance to the anchor falls in one interval of `step`.
-        low = (place - start) // step * step
-        stop = min(last, place - low) + 1
-        part = piece[start : stop - 1 + length]
-        core = piece[place - low : place - low - step + 1 + length]
+    for start, n, left, core, right in _parts(piece, place, length, step):
+        part = left + core + right
         keys = [xxhash.xxh64_intdigest(x, seed) for x, seed in ((core, 1), (part, 2))]
-        yield start, stop - start, *[k - (1 << 64) if k >> 63 else k for k in keys], part
-        start = stop
+        yield start, n, place - start, *[k - (1 << 64) if k >> 63 else k for k in keys], part
 
 
 def _identity(text: Column) -> list[Column]:
