@@ -148,7 +148,7 @@ def accuracies(
     votes by how often it occurs. Labellers are held to be better than chance, which settles which
     side is which.
     """
-    votes = np.array([*patterns], float).reshape(len(patterns), -1)
+    votes = np.array([*patterns], float).reshape(len(patterns), len(next(iter(patterns), ())))
     weight = np.array([*patterns.values()], float)
     right = np.full(votes.shape[1], 0.8)
     for _ in range(rounds if weight.sum() else 0):
