@@ -1,0 +1,137 @@
+"""The operators' results by plain loops, for small inputs."""
+
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+import xxhash
+
+
+def components(n, linked):
+    """Smallest index that links lead to, for each of n things."""
+    parent = list(range(n))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(n):
+        for b in range(a + 1, n):
+            if linked(a, b):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return [root(i) for i in range(n)]
+
+
+def fingerprint(text, shingle=4):
+    text = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    grams = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams] if words else []
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def simhash(rows, distance=4):
+    """doc_id, fingerprint in hex, smallest id of the component; rows are (doc_id, text)."""
+    prints = [fingerprint(t) for _, t in rows]
+    roots = components(len(rows), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= distance)
+    least = {}
+    for (doc, _), r in zip(rows, roots):
+        if doc is not None:
+            least[r] = min(doc, least.get(r, doc))
+    return [(d, f"{p:016x}", least.get(r)) for (d, _), p, r in zip(rows, prints, roots)]
+
+
+def repeats(rows, length):
+    """doc_id, bytes, removed, spans and digest of what is left; rows are (doc_id, text)."""
+    bodies = [(d, (t or "").encode()) for d, t in rows]
+    seen = Counter()
+    for _, b in bodies:
+        seen.update(b[i : i + length] for i in range(len(b) - length + 1))
+    out = []
+    for d, b in bodies:
+        gone = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if seen[b[i : i + length]] > 1:
+                gone[i : i + length] = b"\x01" * length
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out.append((d, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def lines(rows, min_words=8, doublings=3):
+    """The texts without later copies; rows are (doc_id, text) with distinct ids or equal rows."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
+    split = [None if t is None else t.split("\n") for _, t in rows]
+    gone = [set() for _ in rows]
+    for k in range(doublings + 1):
+        seen = set()
+        for i in order:
+            for at in range(len(split[i] or ()) - (1 << k) + 1):
+                run = tuple(split[i][at : at + (1 << k)])
+                words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in run)
+                if run in seen and words >= min_words:
+                    gone[i].update(range(at, at + (1 << k)))
+                seen.add(run)
+    return [
+        None if s is None else "\n".join(x for j, x in enumerate(s) if j not in g)
+        for s, g in zip(split, gone)
+    ]
+
+
+def embeddings(rows, least=0.93):
+    """vec_id, links, component, kept; rows are (vec_id, embedding, label)."""
+
+    def unit(e):
+        if not e or any(x is None or not np.isfinite(x) for x in e) or not any(e):
+            return None
+        e = np.array(e, float) / max(map(abs, e))
+        return e / np.linalg.norm(e)
+
+    units = [None if label is None else unit(e) for _, e, label in rows]
+
+    def linked(a, b):
+        u, v = units[a], units[b]
+        return (
+            u is not None
+            and v is not None
+            and rows[a][2] == rows[b][2]
+            and len(u) == len(v)
+            and float(u @ v) >= least
+        )
+
+    roots = components(len(rows), linked)
+    smallest = {}
+    for (v, _, _), r in zip(rows, roots):
+        if v is not None:
+            smallest[r] = min(v, smallest.get(r, v))
+    count = [sum(a != b and linked(a, b) for b in range(len(rows))) for a in range(len(rows))]
+    return [(v, n, smallest.get(r), v == smallest.get(r)) for (v, _, _), n, r in zip(rows, count, roots)]
+
+
+def edits(item, text):
+    """Fewest edits between an item and any part of a text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item, 1):
+        now = [i]
+        for j, d in enumerate(text, 1):
+            now.append(min(row[j - 1] + (c != d), row[j] + 1, now[-1] + 1))
+        row = now
+    return min(row)
+
+
+def leaks(texts, items, budget):
+    """For each text the items within their budget, with the fewest edits; items are (id, text)."""
+    flat = [" ".join((t or "").lower().split()) for t in texts]
+    chosen = [(k, " ".join(t.lower().split())) for k, t in items if k is not None and t is not None]
+    out = []
+    for t in flat:
+        found = {}
+        for k, item in chosen:
+            if len(item) >= budget.q and (n := edits(item, t)) <= budget.edits(len(item)):
+                found[k] = min(n, found.get(k, n))
+        out.append(sorted(found.items()))
+    return out

@@ -1,0 +1,83 @@
+from pyspark.sql import functions as F
+
+from breachline.llm.language_id import Compressors, Settings, held_out, identify, learn
+
+EN = "the quick brown fox and the lazy dog went over the hill with their friends in the morning "
+FR = "le renard brun et le chien paresseux sont allés sur la colline avec leurs amis le matin "
+ROWS = [(i, EN[i % 20 :] * 3, "en") for i in range(30)] + [(50 + i, FR[i % 20 :] * 3, "fr") for i in range(30)]
+ASK = [
+    (1, EN, "fr"),
+    (2, FR, None),
+    (3, None, "en"),
+    (4, "", "en"),
+    (5, "12 345 — !?", "en"),
+    (6, (EN + "\n") * 3000, None),
+    (7, EN.upper(), None),
+    (8, FR, "x"),
+    (8, FR, "x"),
+    (None, EN, None),
+]
+SCHEMA = "doc_id long, text string, lang string"
+
+
+def predicted(spark, ask, labelled, **more):
+    docs = spark.createDataFrame(ask, SCHEMA)
+    return identify(docs, spark.createDataFrame(labelled, SCHEMA), **more).collect()
+
+
+def test_predictions(spark):
+    rows = predicted(spark, ASK, ROWS)
+    got = {r["doc_id"]: r for r in rows}
+    assert len(rows) == len(ASK)
+    want = {1: "en", 2: "fr", 3: "und", 4: "und", 5: "und", 6: "en", 7: "en", 8: "fr", None: "en"}
+    assert {k: r["lang_pred"] for k, r in got.items()} == want
+    assert all(0 <= r["lang_margin"] <= 1 for r in rows)
+    assert {k for k, r in got.items() if r["lang_rejected"]} == {3, 4, 5}
+
+
+def test_narrow_margins_are_rejected(spark):
+    rows = predicted(spark, [(1, EN, None), (2, EN[:40] + FR[:40], None)], ROWS, margin=0.3)
+    got = {r["doc_id"]: r for r in rows}
+    assert got[2]["lang_rejected"] and got[2]["lang_margin"] < got[1]["lang_margin"]
+    assert all(r["lang_rejected"] for r in predicted(spark, ASK, ROWS, margin=1.1))
+
+
+def test_nothing_and_one_language_learned(spark):
+    assert {r["lang_pred"] for r in predicted(spark, ASK, [])} == {"und"}
+    assert {r["lang_pred"] for r in predicted(spark, ASK, ROWS[:3])} == {"und", "en"}
+    assert predicted(spark, [], ROWS) == []
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = spark.createDataFrame(ASK, SCHEMA).withColumns({"_judged": F.lit(1), "lang_pred": F.lit(2)})
+    got = identify(docs, spark.createDataFrame(ROWS, SCHEMA))
+    assert got.columns == ["doc_id", "text", "lang", "_judged", "lang_pred", "lang_margin", "lang_rejected"]
+
+
+def test_what_is_learned_is_bounded(spark):
+    labelled = spark.createDataFrame([(i, f"{EN} {i} " * 50, "en") for i in range(400)], SCHEMA)
+    settings = Settings(sample_docs=5, excerpt_chars=100, dictionary_bytes=400)
+    assert len(learn(labelled, settings)["en"]) <= 400
+    assert learn(labelled, settings) == learn(labelled.repartition(3), settings)
+
+
+def test_held_out_is_by_the_id(spark):
+    import zlib
+
+    rows = spark.range(50).select("id", held_out(F.col("id")).alias("out")).collect()
+    assert all(r["out"] == (zlib.crc32(str(r["id"]).encode()) % 3 == 1) for r in rows)
+
+
+def test_accuracy_on_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = held_out(F.col("doc_id"))
+    got = identify(docs.where(out), docs.where(~out).select("lang", "text")).collect()
+    right = sum(r["lang"] == r["lang_pred"] for r in got)
+    assert right >= 0.96 * len(got)
+    # Few are rejected, and mostly those that are wrong.
+    assert sum(r["lang_rejected"] for r in got) <= 0.02 * len(got)
+
+
+def test_ties_go_to_the_first_language():
+    same = Compressors({"b": EN.encode(), "a": EN.encode()}, Settings())
+    assert same.judge(EN) == ("a", 0.0)
