@@ -5,7 +5,6 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 from operator import eq
 
 import numpy as np
@@ -13,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import hide
+from .shared import hide, kept_by_worker
 
 _SIGNALS = ["words", "letters", "upper", "symbols", "marks", "repeats", "bars"]
 #: Characters of a text that are looked at together, to bound memory.
@@ -64,8 +63,11 @@ def labellers() -> dict[str, Column]:
     }
 
 
-@lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
+    return kept_by_worker("character classes", _class_table)
+
+
+def _class_table() -> np.ndarray:
     """A class for every character: space, lower, upper, digit, other letter, or its own."""
     table = np.arange(0x110000, dtype=np.uint32) + 16
     for c in range(0x110000):

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,27 +32,60 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
+def kept_by_worker(key: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker makes once and keeps for later tasks.
+
+    Functions travel with each job by value, so what their own modules hold does not last.
+    """
+    box = sys.modules.setdefault("_breachline_kept", types.ModuleType("_breachline_kept"))
+    if key not in box.__dict__:
+        box.__dict__[key] = make()
+    return box.__dict__[key]
+
+
+#: Folders of the staged tables that are still there.
+_staged: list[str] = []
+
+
 def stage(frame: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     It cuts lineage: a lost executor costs its running tasks, not the work before the table. The
-    folder is deleted when the driver's JVM ends.
+    folder is deleted when the driver's JVM ends, or before by `release` or `release_staged`.
     """
     spark = frame.sparkSession
     path = os.path.join(shared_folder(spark), f"stage-{uuid.uuid4().hex}")
     frame.write.parquet(path)
+    _staged.append(path)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    _staged.remove(path)
+
+
 def release(frame: DataFrame) -> None:
     """Delete a staged table that nothing reads any more."""
-    spark = frame.sparkSession
-    for folder in {os.path.dirname(f) for f in frame.inputFiles()}:
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        if hadoop.getName().startswith("stage-"):
-            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    files = frame.inputFiles()
+    for path in [p for p in _staged if any(os.path.basename(p) in f for f in files)]:
+        _delete(frame.sparkSession, path)
+
+
+def staged() -> list[str]:
+    """Folders of the staged tables that are still there."""
+    return list(_staged)
+
+
+def release_staged(spark: SparkSession, folders: list[str], reading: DataFrame) -> None:
+    """Delete staged tables, but for those that a frame still reads."""
+    files = reading.inputFiles()
+    for path in folders:
+        if path in _staged and not any(os.path.basename(path) in f for f in files):
+            _delete(spark, path)
 
 
 def hide(

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from operator import add
 
@@ -13,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import kept_by_worker
+
 _SPACE = "▁"
 #: One unit of a text: spaces and the word after them. No vocabulary entry goes on past a word into
 #: a space, which `Pieces` checks, so no merge crosses units and each is counted on its own.
@@ -109,17 +110,12 @@ def _slices(text: str) -> Iterator[str]:
     yield text[start:]
 
 
-@lru_cache(maxsize=4)
-def _pieces(path: str) -> Pieces:
-    return Pieces(path)
-
-
 def token_count(text: Column, vocabulary: str) -> Column:
     """Tokens of a text column by the sentencepiece BPE model at a path that executors can read."""
 
     @F.pandas_udf("long")
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pieces = _pieces(vocabulary)
+        pieces = kept_by_worker(f"pieces of {vocabulary}", lambda: Pieces(vocabulary))
         for batch in texts:
             yield pd.Series([pieces.count(t) for t in batch], dtype="int64")
 
