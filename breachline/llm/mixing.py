@@ -82,35 +82,41 @@ def mix(
     """
     if any(abs(a + b - 2) > 1e-9 or min(a, b) < 0 for a, b in schedules):
         raise ValueError("a schedule must not be negative and must average one")
-    sizes = stage(
-        documents.select(
-            "doc_id",
-            "source",
-            F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("0" * 32)).alias("_order"),
-            word_count(F.col("text")).alias("size"),
-            *([F.struct(*carry).alias("carried")] if carry else []),
-        )
+    rows = documents.select(
+        "doc_id",
+        "source",
+        # A null source is a key like any other.
+        F.coalesce("source", F.lit("")).alias("_name"),
+        F.col("source").isNull().alias("_none"),
+        F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("0" * 32)).alias("_order"),
+        word_count(F.col("text")).alias("size"),
+        *([F.struct(*carry).alias("carried")] if carry else []),
     ).withColumn("_bucket", F.substring("_order", 1, _BUCKET_DIGITS))
+    # Words are counted once, unless that would mean storing what is carried as well.
+    rows = rows if carry else stage(rows)
 
-    buckets = sizes.groupBy("source", "_bucket").agg(F.sum("size").alias("_in"))
-    ahead = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.select(
-        F.col("source").alias("_s"),
-        F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_in").over(ahead), F.lit(0)).alias("_ahead"),
+    source, bucket = ["_none", "_name"], ["_none", "_name", "_bucket"]
+    buckets = stage(rows.groupBy(*bucket).agg(F.sum("size").alias("_in")))
+    named = buckets.withColumns(
+        {"source": F.when(~F.col("_none"), F.col("_name")), "size": F.col("_in")}
+    )
+    targets = source_targets(named, weights, total_share, most_repeats).select(
+        F.col("source").isNull().alias("_none"),
+        F.coalesce("source", F.lit("")).alias("_name"),
+        "source_size",
+        "source_no",
+        "target",
     )
-    targets = source_targets(sizes, weights, total_share, most_repeats)
-    targets = targets.withColumnRenamed("source", "_t")
-    offsets = buckets.join(targets, F.col("_s").eqNullSafe(F.col("_t")))
+    ahead = Window.partitionBy(*source).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = buckets.withColumn(
+        "_ahead", F.coalesce(F.sum("_in").over(ahead), F.lit(0))
+    ).join(targets, source)
     inside = (
-        Window.partitionBy("source", "_bucket")
+        Window.partitionBy(*bucket)
         .orderBy("_order", F.col("doc_id").asc_nulls_first(), "size")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = sizes.withColumn("_upto", F.sum("size").over(inside)).join(
-        offsets,
-        F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")),
-    )
+    placed = rows.withColumn("_upto", F.sum("size").over(inside)).join(offsets, bucket)
     goal = F.floor(F.col("target") + 0.5)
     start = F.col("_ahead") + F.col("_upto") - F.col("size")
     early = F.array(*[F.lit(float(a)) for a, _ in schedules])
@@ -120,7 +126,7 @@ def mix(
     def one_pass(k: Column) -> Column:
         begin = k * F.col("source_size") + start
         words = F.greatest(F.lit(0), F.least(F.col("size"), goal - begin)).cast("long")
-        share = (begin + words / F.lit(2.0)) / goal
+        share = F.try_divide(begin + words / F.lit(2.0), goal)
         s, e = F.get(early, turn), F.get(late, turn)
         due = F.lit(2.0) * share / (s + F.sqrt(s * s + F.lit(2.0) * (e - s) * share))
         return F.struct(words.alias("words"), due.alias("position"))
