@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import hide
+from .shared import hide, stage
 
 _LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
@@ -85,7 +85,8 @@ def learn(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, byt
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.select("lang", "text", F.xxhash64("text").alias("_hash"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("_n"))
+    # Staged, its size is known: a number per language is broadcast and the texts stay in place.
+    counts = stage(rows.groupBy("lang").agg(F.count("*").alias("_n")))
     keep = F.least(F.lit(1.0), F.lit(2.0 * settings.sample_docs + 50) / F.col("_n"))
     place = F.pmod(F.col("_hash"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     thinned = rows.join(counts, "lang").where(place < keep)
