@@ -26,6 +26,11 @@ def event_list(json: Column) -> Column:
     return F.from_json(json, "array<variant>", _STANDARD)
 
 
+def is_json(text: Column) -> Column:
+    """Whether a text is JSON of any kind, by the same reader."""
+    return F.from_json(text, "variant", _STANDARD).isNotNull()
+
+
 def typed_fields(event: Column, fields: str) -> Column:
     """Struct of the named event fields; null exactly when the event is not a JSON object.
 

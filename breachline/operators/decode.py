@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.codecs import decompress
-from ..functions.events import event_list, typed_fields
+from ..functions.events import event_list, is_json, typed_fields
 from ..schemas import (
     BAD_COMPRESSION,
     BAD_JSON,
@@ -47,7 +47,7 @@ def _reason() -> Column:
     return (
         F.when(F.col("events").isNotNull(), F.lit(None))
         .when(F.col("json").isNull(), BAD_COMPRESSION)
-        .when(F.try_parse_json("json").isNull(), BAD_JSON)
+        .when(~is_json(F.col("json")), BAD_JSON)
         .otherwise(NOT_A_LIST)
     )
 
@@ -95,12 +95,16 @@ def decode_events(
     `on_bad="skip"` leaves bad input to `quarantine`. `on_bad="fail"` stops the job at text that is
     not a list of objects; undecodable bytes are skipped either way.
     """
-    outcomes = decode_outcomes(texts, fields)
+    return events_of(stop_at_bad(decode_outcomes(texts, fields), on_bad))
+
+
+def stop_at_bad(rows: DataFrame, on_bad: str) -> DataFrame:
+    """The rows, which have coordinates and `reason`; with `fail` the job stops at bad text."""
     if on_bad == "fail":
-        outcomes = outcomes.withColumn("reason", _raise_unless_bytes(F.col("reason")))
-    elif on_bad != "skip":
+        return rows.withColumn("reason", _raise_unless_bytes(F.col("reason")))
+    if on_bad != "skip":
         raise ValueError(f"on_bad must be 'skip' or 'fail', not {on_bad!r}")
-    return events_of(outcomes)
+    return rows
 
 
 def _raise_unless_bytes(reason: Column) -> Column:

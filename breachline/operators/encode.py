@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import VariantType
 
@@ -21,12 +21,16 @@ from ..schemas import (
     DEFAULT_NAMES,
     NOT_AN_OBJECT,
     QUARANTINE,
+    REASONS,
     VIOLATIONS,
     FieldNames,
 )
 
 ROUTED_COLUMNS = ("output", *COORDINATES, "pos", "key", "value", "reason")
 
+# Longest list before compression, unless one event alone is longer: below a broker's usual limit.
+MESSAGE_BYTES = 900_000
+
 # Messages of a packing task are handed back to Spark in batches of about this size.
 _BATCH_BYTES = 16 << 20
 
@@ -62,7 +66,7 @@ def encode_events(
 def pack_events(
     events: DataFrame,
     events_per_message: int = 500,
-    max_message_bytes: int = 900_000,
+    max_message_bytes: int = MESSAGE_BYTES,
     codec: str = "none",
     names: FieldNames = DEFAULT_NAMES,
 ) -> DataFrame:
@@ -128,35 +132,94 @@ def message_key(*columns: str) -> Column:
 
 
 def route_events(
-    outcomes: DataFrame, codec: str = "none", names: FieldNames = DEFAULT_NAMES
+    outcomes: DataFrame,
+    codec: str = "none",
+    names: FieldNames = DEFAULT_NAMES,
+    max_list_bytes: int | None = None,
 ) -> DataFrame:
     """One output row per violating event and per quarantined row, told apart by `output`.
 
-    Takes `decode_outcomes` with `violations` attached, so both outputs come from one pass.
+    Takes `decode_outcomes` with `violations` attached, so both outputs come from one pass. With
+    `max_list_bytes` the violating events of an envelope share rows: lists of at most that many
+    bytes, or of one longer event. A list has the position, and so the key, of its first event.
     """
     bad = F.col("reason").isNotNull()
-    text = F.concat(F.lit("["), "payload", F.lit("]"))
-    return _routed(
-        event_payloads(outcomes, names).select(
-            F.when(bad, QUARANTINE).otherwise(VIOLATIONS).alias("output"),
-            *COORDINATES,
-            "pos",
-            F.when(~bad, text).alias("text"),
-            "raw",
-            "reason",
-        ),
-        codec,
+    rows = event_payloads(outcomes, names).select(
+        F.when(bad, QUARANTINE).otherwise(VIOLATIONS).alias("output"),
+        *COORDINATES,
+        "pos",
+        F.when(~bad, F.col("payload")).alias("text"),
+        "raw",
+        "reason",
     )
+    if max_list_bytes is None:
+        text = F.concat(F.lit("["), "text", F.lit("]"))
+        return _routed(rows.withColumn("text", text), codec)
+    return _routed(_listed(rows, max_list_bytes), codec)
+
+
+def _listed(rows: DataFrame, room: int) -> DataFrame:
+    """Rows whose texts are put into lists where they follow each other in one envelope.
+
+    The events of an envelope come one after the other from the explode, so no shuffle is needed.
+    """
+    if room < 1:
+        raise ValueError("message bounds must be positive")
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict | None = None
+        texts: list[str] = []
+        size, done, written = 1, [], 0
+
+        def close() -> None:
+            nonlocal held, texts, size, written
+            if held is not None:
+                done.append({**held, "text": "[" + ",".join(texts) + "]"})
+                written += size
+            held, texts, size = None, [], 1
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                text = row["text"]
+                if text is None:
+                    close()
+                    done.append(row)
+                    written += len(row["raw"] or b"")
+                else:
+                    more = len(text.encode()) + 1
+                    same = held is not None and all(held[c] == row[c] for c in COORDINATES)
+                    if not same or size + more > room:
+                        close()
+                        held = row
+                    texts.append(text)
+                    size += more
+                if written >= _BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(done, batch.schema)
+                    done, written = [], 0
+            schema = batch.schema
+        close()
+        if done:
+            yield pa.RecordBatch.from_pylist(done, schema)
+
+    return rows.mapInArrow(join, rows.schema)
 
 
 def route_promoted_lists(
-    lists: DataFrame, codec: str = "none", names: FieldNames = DEFAULT_NAMES
+    lists: DataFrame,
+    codec: str = "none",
+    names: FieldNames = DEFAULT_NAMES,
+    max_list_bytes: int = MESSAGE_BYTES,
+    counts: str | Observation | None = None,
 ) -> DataFrame:
     """Promote within each envelope and publish its whole list as one message.
 
     Takes `decode_lists`. Array functions keep the list together, so no shuffle is needed to put the
-    events of an envelope back into one message. An empty list gives no message.
+    events of an envelope back into one message. An empty list gives no message. A list longer than
+    `max_list_bytes` is split; the first part has no position, the others that of their first event
+    among the good ones. `counts` names an observation of `events` and of what is set aside.
     """
+    if max_list_bytes < 1:
+        raise ValueError("message bounds must be positive")
     written = lists.select(
         *COORDINATES, "reason", "raw", F.transform("events", _part).alias("parts")
     )
@@ -173,16 +236,26 @@ def route_promoted_lists(
             p["event"], p["body"], custom_violations(p["event"], names), names
         ),
     )
+    if counts is not None:
+        parts = parts.observe(
+            counts,
+            F.sum(F.coalesce(F.size("good"), F.lit(0))).alias("events"),
+            F.sum(F.when(F.col("reason").isNull(), F.size("stray")).otherwise(0)).alias(NOT_AN_OBJECT),
+            *[F.count_if(F.col("reason") == r).alias(r) for r in REASONS if r != NOT_AN_OBJECT],
+        )
     nothing = F.array().cast(
         "array<struct<output:string,pos:int,text:string,raw:binary,reason:string>>"
     )
+    parts = parts.withColumn("promoted", promoted)
+    # Brackets and commas take one byte more than there are events.
+    fits = F.aggregate(
+        "promoted", F.lit(1).cast("long"), lambda n, t: n + F.octet_length(t) + 1
+    ) <= max_list_bytes
+    whole = F.array(_row(VIOLATIONS, text=_list_text(F.col("promoted"))))
     rows = F.concat(
-        F.when(
-            F.size("good") > 0,
-            F.array(
-                _row(VIOLATIONS, text=F.concat(F.lit("["), F.array_join(promoted, ","), F.lit("]")))
-            ),
-        ).otherwise(nothing),
+        F.when(F.size("promoted") == 0, nothing)
+        .when(F.size("promoted") > 0, F.when(fits, whole).otherwise(_split(max_list_bytes)))
+        .otherwise(nothing),
         F.when(
             F.col("reason").isNull(),
             F.transform(
@@ -202,6 +275,38 @@ def route_promoted_lists(
     return _routed(exploded.where(F.col("output").isNotNull()), codec)
 
 
+def _list_text(texts: Column) -> Column:
+    return F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
+
+
+def _split(room: int) -> Column:
+    """Rows for an over-long list `promoted`: each takes what fits, at least one event."""
+    start = F.struct(
+        F.lit(0).cast("long").alias("size"), F.array().cast("array<int>").alias("firsts")
+    )
+
+    def step(state: Column, at: Column) -> Column:
+        more = F.octet_length(F.get("promoted", at)) + 1
+        opens = (F.size(state["firsts"]) == 0) | (state["size"] + more > room)
+        return F.struct(
+            F.when(opens, 1 + more).otherwise(state["size"] + more).cast("long").alias("size"),
+            F.when(opens, F.concat(state["firsts"], F.array(at))).otherwise(state["firsts"]).alias("firsts"),
+        )
+
+    places = F.sequence(F.lit(0), F.size("promoted") - 1)
+    firsts = F.aggregate(places, start, step, lambda state: state["firsts"])
+    ends = F.concat(F.slice(firsts, 2, F.size("promoted")), F.array(F.size("promoted")))
+    return F.zip_with(
+        firsts,
+        ends,
+        lambda first, end: _row(
+            VIOLATIONS,
+            pos=F.when(first > 0, first),
+            text=_list_text(F.slice("promoted", first + 1, end - first)),
+        ),
+    )
+
+
 def _part(event: Column, pos: Column) -> Column:
     body = event_body(event).alias("body")
     return F.struct(pos.alias("pos"), event.alias("event"), body)

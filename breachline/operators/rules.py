@@ -4,17 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.events import violation_list
-
-
-# Up to this many rules are judged in the filter itself, which is compiled together with the stages
-# around it. More would make that method too long for the JVM to compile; the list form is split up.
-_FILTER_FIRST = 16
+from ..schemas import REASONS, unused_name
 
 
 @dataclass(frozen=True, eq=False)
@@ -44,31 +39,38 @@ def apply_rules(
     rules: Sequence[Rule],
     only_violating: bool = False,
     unless: Column | None = None,
+    counts: str | Observation | None = None,
 ) -> DataFrame:
     """Attach `violations`, one entry per matching rule in rule order, replacing any there were.
 
-    With `only_violating` the events without a match are dropped; the result equals
-    `only_violations(apply_rules(events, rules))` and is faster. Rows where `unless` is true are no
-    events: they match no rule and are never dropped.
+    The column is the last, however many rules there are. With `only_violating` the events without a
+    match are dropped; the result equals `only_violations(apply_rules(events, rules))` and is
+    faster, because lists are made for the rest only. Rows where `unless` is true are no events:
+    they match no rule and are never dropped. `counts` names an observation of `events` and
+    `violating`, and of rows by `reason` where there is such a column.
     """
     exempt = F.lit(False) if unless is None else unless
-    if only_violating and len(rules) <= _FILTER_FIRST:
-        return _filter_then_list(events, rules, exempt)
-    found = violation_list([(r.policy_id, ~exempt & r.predicate) for r in rules])
-    flagged = events.withColumn("violations", found)
-    return flagged.where(exempt | (F.size("violations") > 0)) if only_violating else flagged
-
-
-def _filter_then_list(events: DataFrame, rules: Sequence[Rule], exempt: Column) -> DataFrame:
-    # Each outcome is a column of its own, so that a UDF in a rule serves both uses with one call.
-    hits = [f"_hit{i}" for i in range(len(rules))]
+    outcomes = [F.coalesce(~exempt & r.predicate, F.lit(False)) for r in rules]
+    # All outcomes are one column, so that a UDF in a rule serves filter and list with one call.
+    hits = unused_name(events.columns, "hits")
     judged = events.select(
-        *[c for c in events.columns if c != "violations"],
-        *[(~exempt & r.predicate).alias(h) for r, h in zip(rules, hits)],
+        *[c for c in events.columns if c.lower() != "violations"],
+        F.array(*outcomes).cast("array<boolean>").alias(hits),
     )
-    kept = judged.where(reduce(Column.__or__, map(F.col, hits), exempt))
-    found = violation_list([(r.policy_id, F.col(h)) for r, h in zip(rules, hits)])
-    return kept.withColumn("violations", found).drop(*hits)
+    found = F.array_contains(hits, F.lit(True))
+    if counts is not None:
+        judged = judged.observe(counts, *_counts(events, exempt, found))
+    if only_violating:
+        judged = judged.where(exempt | found)
+    matches = [(r.policy_id, F.get(hits, F.lit(i))) for i, r in enumerate(rules)]
+    return judged.withColumn("violations", violation_list(matches)).drop(hits)
+
+
+def _counts(events: DataFrame, exempt: Column, found: Column) -> list[Column]:
+    counted = [F.count_if(~exempt).alias("events"), F.count_if(found).alias("violating")]
+    if "reason" in events.columns:
+        counted += [F.count_if(F.col("reason") == r).alias(r) for r in REASONS]
+    return counted
 
 
 def only_violations(flagged: DataFrame) -> DataFrame:

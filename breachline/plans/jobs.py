@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.decode import (
@@ -16,8 +16,9 @@ from ..operators.decode import (
     decode_lists,
     decode_outcomes,
     decompress_envelopes,
+    stop_at_bad,
 )
-from ..operators.encode import route_events, route_promoted_lists
+from ..operators.encode import MESSAGE_BYTES, route_events, route_promoted_lists
 from ..operators.promote import promote_custom_violations
 from ..operators.rules import Rule, apply_rules
 from ..schemas import DEFAULT_NAMES, FieldNames
@@ -28,17 +29,23 @@ def detect(
     rules: Sequence[Rule],
     codec: str = "gzip",
     fields: str = DEFAULT_FIELDS,
+    on_bad: str = "skip",
+    counts: str | Observation | None = None,
 ) -> DataFrame:
     """Violating events with their violations. Without rules there are none."""
-    events = decode_events(decompress_envelopes(envelopes, codec), fields)
-    return apply_rules(events, rules, only_violating=True)
+    events = decode_events(decompress_envelopes(envelopes, codec), fields, on_bad)
+    return apply_rules(events, rules, only_violating=True, counts=counts)
 
 
 def promote(
-    envelopes: DataFrame, codec: str = "gzip", names: FieldNames = DEFAULT_NAMES
+    envelopes: DataFrame,
+    codec: str = "gzip",
+    names: FieldNames = DEFAULT_NAMES,
+    on_bad: str = "skip",
 ) -> DataFrame:
     """All events, with their custom violations as violations."""
-    return promote_custom_violations(decode_events(decompress_envelopes(envelopes, codec)), names)
+    events = decode_events(decompress_envelopes(envelopes, codec), on_bad=on_bad)
+    return promote_custom_violations(events, names)
 
 
 def route_detect(
@@ -46,25 +53,44 @@ def route_detect(
     rules: Sequence[Rule],
     codec: str = "gzip",
     fields: str = DEFAULT_FIELDS,
-    out_codec: str = "none",
+    out_codec: str | None = None,
     names: FieldNames = DEFAULT_NAMES,
+    form: str = "events",
+    max_message_bytes: int = MESSAGE_BYTES,
+    on_bad: str = "skip",
+    counts: str | Observation | None = None,
 ) -> DataFrame:
     """Messages for violating events plus quarantined input, ready for `write_violations`.
 
-    One pass gives both outputs, so nothing is decoded twice and nothing has to be cached.
+    One pass gives both outputs, so nothing is decoded twice and nothing has to be cached. With the
+    form `events` each violating event is a message; with `lists` those of an envelope are one, or
+    several where it would exceed `max_message_bytes` before compression. `out_codec` is `codec`
+    unless given. `counts` names an observation of what was decoded, flagged and set aside, which a
+    stream reports in `lastProgress` and a batch through an `Observation`.
     """
+    if form not in ("events", "lists"):
+        raise ValueError(f"form must be 'events' or 'lists', not {form!r}")
     outcomes = decode_outcomes(decompress_envelopes(envelopes, codec), fields)
     bad = F.col("reason").isNotNull()
-    flagged = apply_rules(outcomes, rules, only_violating=True, unless=bad)
-    return route_events(flagged, out_codec, names)
+    flagged = apply_rules(outcomes, rules, only_violating=True, unless=bad, counts=counts)
+    room = max_message_bytes if form == "lists" else None
+    return stop_at_bad(route_events(flagged, out_codec or codec, names, room), on_bad)
 
 
 def route_promote(
     envelopes: DataFrame,
     codec: str = "gzip",
-    out_codec: str = "none",
+    out_codec: str | None = None,
     names: FieldNames = DEFAULT_NAMES,
+    max_message_bytes: int = MESSAGE_BYTES,
+    on_bad: str = "skip",
+    counts: str | Observation | None = None,
 ) -> DataFrame:
-    """A message per envelope with all its events promoted, plus quarantined input."""
+    """A message per envelope with all its events promoted, plus quarantined input.
+
+    Lists that would exceed `max_message_bytes` before compression are split. `out_codec` and
+    `counts` are as in `route_detect`.
+    """
     lists = decode_lists(decompress_envelopes(envelopes, codec))
-    return route_promoted_lists(lists, out_codec, names)
+    routed = route_promoted_lists(lists, out_codec or codec, names, max_message_bytes, counts)
+    return stop_at_bad(routed, on_bad)

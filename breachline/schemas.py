@@ -40,6 +40,7 @@ BAD_COMPRESSION = "decompress"
 BAD_JSON = "parse"
 NOT_A_LIST = "not_array"
 NOT_AN_OBJECT = "not_object"
+REASONS = (BAD_COMPRESSION, BAD_JSON, NOT_A_LIST, NOT_AN_OBJECT)
 
 # Values of the `output` column that routes a row to its destination.
 VIOLATIONS = "violations"
@@ -56,8 +57,16 @@ class FieldNames:
 
     def __post_init__(self):
         for name in (self.violations, self.custom_violations, self.policy_id):
-            if not name or any(c in name for c in "\"'\\[]`"):
+            if not name or any(c in "\"'\\[]`" or not c.isprintable() for c in name):
                 raise ValueError(f"unusable JSON field name: {name!r}")
 
 
 DEFAULT_NAMES = FieldNames()
+
+
+def unused_name(columns: list[str], name: str) -> str:
+    """A name for a helper column that no other column has, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

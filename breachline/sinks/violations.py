@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -14,7 +14,8 @@ from ..schemas import QUARANTINE, VIOLATIONS
 
 @dataclass(frozen=True)
 class KafkaSink:
-    """Topics for the two outputs. Without a quarantine topic, bad input is left out.
+    """Topics for the two outputs. Without a quarantine topic, bad input is left out of the main
+    sink; as a quarantine sink it goes to the one topic there is.
 
     Delivery is at least once; message keys let readers drop repeats.
     """
@@ -39,6 +40,10 @@ class KafkaSink:
             F.when(F.col("reason").isNotNull(), F.array(reason)).alias("headers"),
         )
 
+    def for_quarantine(self) -> KafkaSink:
+        """The sink when it is handed bad input only."""
+        return replace(self, quarantine_topic=self.quarantine_topic or self.violation_topic)
+
     def settings(self) -> dict[str, str]:
         """Options of Spark's Kafka sink."""
         return {"kafka.bootstrap.servers": self.brokers, **self.options}
@@ -46,21 +51,37 @@ class KafkaSink:
 
 @dataclass(frozen=True)
 class FileSink:
-    """A table of routed rows below `path`, one folder per output."""
+    """A table of routed rows below `path`, one folder per output.
+
+    A stream writes each batch to folders of its own, `query=<id>/batch=<n>/output=<o>`, so queries
+    and outputs may share a path. A batch that is done again replaces its own files only.
+    """
 
     path: str
     file_format: str = "parquet"
 
+    def for_quarantine(self) -> FileSink:
+        """The sink when it is handed bad input only; its folders are apart already."""
+        return self
+
+
+Sink = KafkaSink | FileSink
+
 
 def write_violations(
-    routed: DataFrame, sink: KafkaSink | FileSink, mode: str = "append", rebalance: bool = False
+    routed: DataFrame, sink: Sink, mode: str = "append", rebalance: bool = False
 ) -> DataStreamWriter | None:
     """Write a batch, or return the writer of a stream for the caller to start.
 
-    `rebalance` evens out the files of a batch: where few events violate a rule, every task would
-    otherwise leave a tiny file. It shuffles the output rows, not the input. Leave it off where most
-    events are written.
+    `rebalance` evens out the files: where few events violate a rule, every task would otherwise
+    leave a tiny file. It shuffles the output rows, not the input. Leave it off where most events
+    are written. Kafka has no files and only appends, and a stream replaces nothing but a batch that
+    is done again, so `mode` and `rebalance` are refused where they mean nothing.
     """
+    if isinstance(sink, KafkaSink) and (mode != "append" or rebalance):
+        raise ValueError("a Kafka sink only appends, and has no files to rebalance")
+    if routed.isStreaming and mode != "append":
+        raise ValueError("a stream only appends")
     if isinstance(sink, KafkaSink):
         rows = sink.rows(routed)
         if rows.isStreaming:
@@ -68,9 +89,33 @@ def write_violations(
         rows.write.format("kafka").options(**sink.settings()).save()
         return None
     if routed.isStreaming:
-        writer = routed.writeStream.format(sink.file_format).partitionBy("output")
-        return writer.outputMode("append").option("path", sink.path)
+        refuse_logged_folder(routed.sparkSession, sink)
+        return routed.writeStream.foreachBatch(
+            lambda batch, batch_id: write_batch(batch, sink, batch_id, rebalance)
+        )
     if rebalance:
         routed = routed.hint("rebalance")
     routed.write.format(sink.file_format).mode(mode).partitionBy("output").save(sink.path)
     return None
+
+
+def write_batch(rows: DataFrame, sink: Sink, batch_id: int, rebalance: bool = False) -> None:
+    """Write one batch of a stream, inside its batch function."""
+    if isinstance(sink, KafkaSink):
+        write_violations(rows, sink)
+        return
+    query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if rebalance:
+        rows = rows.hint("rebalance")
+    # Of this batch's folders only those of the outputs at hand are replaced.
+    writer = rows.write.format(sink.file_format).partitionBy("output").mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.save(f"{sink.path}/query={query}/batch={batch_id}")
+
+
+def refuse_logged_folder(spark: SparkSession, sink: Sink) -> None:
+    """Stop where readers would not see new files: a log of Spark's own file sink governs the folder."""
+    if isinstance(sink, FileSink):
+        log = spark._jvm.org.apache.hadoop.fs.Path(f"{sink.path}/_spark_metadata")
+        if log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+            raise ValueError(f"{sink.path} holds the log of another kind of stream; choose a new path")

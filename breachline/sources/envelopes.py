@@ -40,6 +40,8 @@ def kafka_source_options(
         if start.lower() not in _STARTS:
             raise ValueError(f"unknown start {start!r}; expected one of {', '.join(_STARTS)}")
         options["startingOffsets"] = _STARTS[start.lower()]
+        if not streaming and options["startingOffsets"] == "latest":
+            raise ValueError("a batch cannot start at the latest offset")
     if group_id:
         options["kafka.group.id"] = group_id
     if max_message_bytes is not None and max_message_bytes > 0:
@@ -56,7 +58,10 @@ def kafka_source_options(
 
 
 def max_offsets_per_trigger(per_partition: int, seconds: float, partitions: int) -> int:
-    """Limit per trigger that equals a rate per second and Kafka partition."""
+    """Limit per trigger that a rate per second and Kafka partition comes to over all partitions.
+
+    Spark shares the limit by backlog, so a partition that lags may take more than its rate.
+    """
     if per_partition < 1 or seconds <= 0 or partitions < 1:
         raise ValueError("rate, interval and partition count must be positive")
     return max(1, int(per_partition * seconds * partitions))

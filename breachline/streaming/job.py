@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -11,9 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import QUARANTINE, VIOLATIONS
-from ..sinks.violations import FileSink, KafkaSink, write_violations
-
-Sink = KafkaSink | FileSink
+from ..sinks.violations import Sink, refuse_logged_folder, write_batch, write_violations
 
 
 def run_detection(
@@ -25,6 +22,7 @@ def run_detection(
     quarantine_sink: Sink | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
     name: str | None = None,
+    rebalance: bool = False,
 ) -> StreamingQuery:
     """Start the job on a routed stream and return its query; call `awaitTermination()` to wait.
 
@@ -34,14 +32,20 @@ def run_detection(
     what is there and stops.
 
     One sink takes both outputs in a single write. With `quarantine_sink` or the hook `on_batch`
-    each batch has several readers, so its output rows are kept until all have run.
+    each batch has several readers, so its output rows are kept until all have run. Files lie alike
+    in either form, so a sink or hook may be added on restart. `rebalance` evens out the files of
+    each batch.
     """
     if interval is not None and available_now:
         raise ValueError("give either an interval or available_now")
     if quarantine_sink is None and on_batch is None:
-        writer = write_violations(routed, sink)
+        writer = write_violations(routed, sink, rebalance=rebalance)
     else:
-        writer = routed.writeStream.foreachBatch(_batch_writer(sink, quarantine_sink, on_batch))
+        for target in filter(None, (sink, quarantine_sink)):
+            refuse_logged_folder(routed.sparkSession, target)
+        writer = routed.writeStream.foreachBatch(
+            _batch_writer(sink, quarantine_sink, on_batch, rebalance)
+        )
     writer = writer.option("checkpointLocation", checkpoint)
     if name is not None:
         writer = writer.queryName(name)
@@ -52,25 +56,19 @@ def run_detection(
     return writer.start()
 
 
-def _batch_writer(sink, quarantine_sink, on_batch):
+def _batch_writer(sink, quarantine_sink, on_batch, rebalance):
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if quarantine_sink is None:
-                _write_once(kept, sink, batch_id)
+                write_batch(kept, sink, batch_id, rebalance)
             else:
-                _write_once(kept.where(F.col("output") == VIOLATIONS), sink, batch_id)
-                _write_once(kept.where(F.col("output") == QUARANTINE), quarantine_sink, batch_id)
+                good, bad = (kept.where(F.col("output") == o) for o in (VIOLATIONS, QUARANTINE))
+                write_batch(good, sink, batch_id, rebalance)
+                write_batch(bad, quarantine_sink.for_quarantine(), batch_id, rebalance)
             if on_batch is not None:
                 on_batch(kept, batch_id)
         finally:
             kept.unpersist()
 
     return write
-
-
-def _write_once(rows: DataFrame, sink: Sink, batch_id: int) -> None:
-    # A batch may be run again after a failure, so its files go to a folder of its own.
-    if isinstance(sink, FileSink):
-        sink = replace(sink, path=f"{sink.path}/batch={batch_id}")
-    write_violations(rows, sink, mode="overwrite")

@@ -1,5 +1,6 @@
 import gzip
 import json
+import time
 
 import pyarrow as pa
 import pytest
@@ -191,3 +192,26 @@ def test_many_slices_per_input_batch(spark):
     assert [(r.offset, r.n) for r in events.orderBy("offset").collect()] == [
         (i, 1 << 20) for i in range(100)
     ]
+
+
+def test_label_does_not_depend_on_size(spark):
+    long = '{"a":"' + "x" * 25_000_000 + '"}'
+    number = '{"a":' + "1" * 1200 + "}"
+    got = bl.quarantine(texts(spark, long, number, '{"a":1}', codec="none")).collect()
+    assert [r["reason"] for r in got] == ["not_array"] * 3
+
+
+def test_many_gzip_members_take_time_in_proportion(spark):
+    from breachline.functions.codecs import _gunzip
+
+    member = gzip.compress(b"[]", mtime=0)
+
+    def seconds(n):
+        start = time.perf_counter()
+        assert _gunzip(member * n) == b"[]" * n
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(64_000) < 40 * max(seconds(4_000), 0.005)
+    assert _gunzip(member + b"\0" * 100) == b"[]" and _gunzip(member + b"x") is None
+    assert _gunzip(b"") is None and _gunzip(member[:-3]) is None

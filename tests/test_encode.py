@@ -2,6 +2,7 @@ import json
 
 import pytest
 from envelopes import envelopes, packed, texts
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import breachline as bl
@@ -123,3 +124,62 @@ def test_routed_detection(spark, codec):
         (2, None, values[2], "not_array"),
         (3, None, None, "decompress"),
     ]
+
+
+def lists_of(frame):
+    rows = frame.where("output = 'violations'").orderBy("offset", "pos").collect()
+    return [(r.offset, bytes(r.key).decode(), bytes(r.value)) for r in rows]
+
+
+@pytest.mark.parametrize("room", [1, 60, 200, 900_000])
+@pytest.mark.parametrize("promoted", [False, True])
+def test_lists_are_bounded_and_keys_unique(spark, room, promoted):
+    texts_ = ["[" + ",".join('{"n":%d,"requesturl":"acme"}' % (10 * k + i) for i in range(9)) + ',7]' for k in range(3)]
+    frame = envelopes(spark, [packed(t, "none") for t in [*texts_, "[]", "bad"]])
+    if promoted:
+        routed = bl.route_promote(frame, "none", max_message_bytes=room)
+    else:
+        rules = [bl.rule_contains("requesturl", "acme", 1)]
+        routed = bl.route_detect(frame, rules, "none", form="lists", max_message_bytes=room)
+    found = lists_of(routed)
+    assert len({k for _, k, _ in found}) == len(found)
+    for offset, _, value in found:
+        events = json.loads(value)
+        assert len(value) <= room or len(events) == 1
+        assert {e["n"] // 10 for e in events} == {offset}
+    assert sorted(e["n"] for _, _, v in found for e in json.loads(v)) == [10 * k + i for k in range(3) for i in range(9)]
+    assert routed.where("output = 'quarantine'").count() == 4
+    if room == 900_000:
+        assert len(found) == 3
+
+
+def test_list_form_is_checked(spark):
+    frame = envelopes(spark, [packed("[]")])
+    with pytest.raises(ValueError):
+        bl.route_detect(frame, [], form="other")
+    with pytest.raises(ValueError):
+        bl.route_detect(frame, [], form="lists", max_message_bytes=0)
+    with pytest.raises(ValueError):
+        bl.route_promote(frame, max_message_bytes=0)
+
+
+def test_output_takes_the_codec_of_the_input(spark):
+    frame = envelopes(spark, [packed('[{"requesturl":"acme"}]', "gzip")])
+    rules = [bl.rule_contains("requesturl", "acme", 1)]
+    for routed in (bl.route_detect(frame, rules), bl.route_promote(frame)):
+        assert bytes(routed.first()["value"])[:2] == b"\x1f\x8b"
+
+
+def test_jobs_can_stop_at_bad_text(spark):
+    frame = envelopes(spark, [packed('[{"requesturl":"acme"}]'), packed("bad")])
+    rules = [bl.rule_contains("requesturl", "acme", 1)]
+    jobs = (
+        lambda on_bad: bl.detect(frame, rules, on_bad=on_bad),
+        lambda on_bad: bl.promote(frame, on_bad=on_bad),
+        lambda on_bad: bl.route_detect(frame, rules, on_bad=on_bad),
+        lambda on_bad: bl.route_promote(frame, on_bad=on_bad),
+    )
+    for job in jobs:
+        assert job("skip").collect()
+        with pytest.raises(PySparkException, match="bad event list"):
+            job("fail").collect()

@@ -115,3 +115,18 @@ def test_udf_rule_runs_once_per_event(spark):
         flagged = bl.apply_rules(events(spark, listed), [rule], only_violating)
         assert flagged.where(F.size("violations") > 0).count() == 10
         assert calls.value - before == 100
+
+
+@pytest.mark.parametrize("count", [0, 1, 16, 17, 200])
+def test_schema_and_rows_do_not_depend_on_the_number_of_rules(spark, count):
+    lists = ['[{"requesturl":"acme","violations":[{"policyId":1}]},{"requesturl":"x"},{}]']
+    fields = "violations array<struct<policyId:bigint>>, requesturl string, hits string, _hit0 string"
+    events = bl.decode_events(texts(spark, *lists), fields)
+    rules = [bl.rule_contains("requesturl", "acme", i) for i in range(count)]
+    for only in (False, True):
+        flagged = bl.apply_rules(events, rules, only_violating=only)
+        assert flagged.columns == [c for c in events.columns if c != "violations"] + ["violations"]
+        rows = flagged.orderBy("pos").collect()
+        assert [[v.policyId for v in r.violations] for r in rows] == (
+            [list(range(count))] * bool(count) if only else [list(range(count)), [], []]
+        )

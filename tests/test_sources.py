@@ -73,3 +73,28 @@ def test_kafka_sink_rows(spark):
     assert sink.settings() == {"kafka.bootstrap.servers": "b:1", "kafka.security.protocol": "SSL"}
     only = bl.KafkaSink("b:1", "alerts").rows(routed).collect()
     assert [r.topic for r in only] == ["alerts"]
+
+
+def test_kafka_quarantine_sink_gets_every_row(spark):
+    rows = spark.createDataFrame(
+        [("quarantine", b"k", b"v", "parse"), ("quarantine", b"k2", b"v2", "not_array")],
+        "output string, key binary, value binary, reason string",
+    )
+    sink = bl.KafkaSink("b", "undecodable").for_quarantine()
+    assert [r["topic"] for r in sink.rows(rows).collect()] == ["undecodable"] * 2
+    named = bl.KafkaSink("b", "v", "q").for_quarantine()
+    assert [r["topic"] for r in named.rows(rows).collect()] == ["q"] * 2
+    assert bl.KafkaSink("b", "v").rows(rows).count() == 0
+
+
+def test_batch_cannot_start_at_the_end():
+    for start in ("latest", "largest"):
+        with pytest.raises(ValueError):
+            bl.kafka_source_options("b", "t", start=start, streaming=False)
+        assert bl.kafka_source_options("b", "t", start=start)["startingOffsets"] == "latest"
+
+
+@pytest.mark.parametrize("name", ["a\tb", "a\nb", "\x00", "\x7f", ""])
+def test_field_names_without_control_characters(name):
+    with pytest.raises(ValueError):
+        bl.FieldNames(violations=name)
