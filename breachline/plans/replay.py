@@ -43,10 +43,17 @@ def as_envelopes(messages: DataFrame, offset: Column) -> DataFrame:
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below the one the cluster shares between its executors."""
+    """A new folder name below the one the cluster shares between its executors.
+
+    The folder is deleted when the driver's JVM ends, for what a query returns may still read it.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         root = tempfile.mkdtemp(prefix="run-")
-    return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+        spark.conf.set("spark.checkpoint.dir", root)
+    path = os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path

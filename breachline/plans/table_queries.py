@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codecs import compress
@@ -36,7 +36,9 @@ PAGE = "page_id bigint, requesturl string"
 PAGE_RULES = [("example.com", 101), ("utm_source", 102), ("/en/", 103)]
 EVENT = "event_id bigint, event_type string"
 CARRIED = EVENT + ", user_id bigint, value double"
-PUBLISHED = CARRIED + ", violations array<struct<policyId:bigint>>"
+PUBLISHED = CARRIED + ", ts timestamp_ntz, props string, violations array<struct<policyId:bigint>>"
+CUSTOM = ", customViolations array<struct<policyId:bigint>>"
+WHOLE = ("event_id", "event_type", "user_id", "value", "props")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,7 +46,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("requesturl"))
+    return _table(spark, sf_dir, "pages").withColumn("requesturl", F.col("url"))
 
 
 def _events_with_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +65,14 @@ def _flat(flagged: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def _seconds() -> Column:
+    return F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts")
+
+
+def _custom() -> Column:
+    return F.coalesce(F.col("customViolations")[0]["policyId"], F.lit(-1)).alias("custom_id")
+
+
 def _reread(messages: DataFrame, fields: str, codec: str) -> DataFrame:
     """Published messages decoded again, as a downstream reader would."""
     at = as_envelopes(messages, offset=F.monotonically_increasing_id())
@@ -102,14 +112,14 @@ def _detect_event_type(spark, sf_dir):
 
 def _detect_sparse_field(spark, sf_dir):
     kind = F.when(F.col("event_id") % 3 == 0, F.lit(None)).otherwise(F.col("event_type"))
-    rows = _table(spark, sf_dir, "events").select("event_id", kind.alias("event_type"))
+    rows = _table(spark, sf_dir, "events").withColumn("event_type", kind)
     rules = [rule_contains("event_type", "err", POLICY)]
     events = decode_events(decompress_envelopes(pack_table(rows, "none"), "none"), EVENT)
     return _flat(only_violations(apply_rules(events, rules)), "event_id", "event_type")
 
 
 def _detect_text(spark, sf_dir):
-    rows = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rows = _table(spark, sf_dir, "documents")
     rules = [rule_contains("text", "License", POLICY), rule_contains("text", "sch ", 17)]
     flagged = detect(pack_table(rows, "gzip"), rules, fields="doc_id bigint, text string")
     return _flat(flagged.withColumn("n", F.length("text")), "doc_id", "n")
@@ -158,27 +168,23 @@ def _promote_missing(spark, sf_dir):
         "customViolations", F.when(F.col("event_type") == "view", F.col("customViolations"))
     )
     published = encode_events(promote(pack_table(rows, "gzip")), codec="gzip")
-    again = _reread(published, PUBLISHED, "gzip")
-    policy = F.col("violations")[0]["policyId"]
-    return again.select("event_id", F.coalesce(policy, F.lit(-1)).alias("policy_id"))
+    again = _reread(published, PUBLISHED + CUSTOM, "gzip")
+    policy = F.coalesce(F.col("violations")[0]["policyId"], F.lit(-1)).alias("policy_id")
+    return again.select(*WHOLE, _seconds(), _custom(), policy)
 
 
 def _promote_republish(spark, sf_dir):
     rows = _events_with_custom(spark, sf_dir)
     routed = route_promote(pack_table(rows, "snappy", 100), "snappy", out_codec="gzip")
     published = routed.where(F.col("output") == "violations")
-    return _flat(
-        _reread(published, PUBLISHED, "gzip"), "event_id", "event_type", "user_id", "value"
-    )
+    return _flat(_reread(published, PUBLISHED + CUSTOM, "gzip"), *WHOLE, _seconds(), _custom())
 
 
 def _republish_roundtrip(spark, sf_dir):
     envelopes = pack_table(_table(spark, sf_dir, "events"), "gzip")
     flagged = detect(envelopes, [rule_contains("event_type", "err", POLICY)], fields=EVENT)
     published = encode_events(flagged, codec="snappy")
-    return _flat(
-        _reread(published, PUBLISHED, "snappy"), "event_id", "event_type", "user_id", "value"
-    )
+    return _flat(_reread(published, PUBLISHED, "snappy"), *WHOLE, _seconds())
 
 
 def _replace_violations(spark, sf_dir):
@@ -186,7 +192,8 @@ def _replace_violations(spark, sf_dir):
     flagged = detect(envelopes, [rule_contains("event_type", "sign", POLICY)], fields=EVENT)
     again = _reread(encode_events(flagged), PUBLISHED, "none")
     return again.select(
-        "event_id",
+        *WHOLE,
+        _seconds(),
         F.size("violations").alias("n"),
         F.col("violations")[0]["policyId"].alias("policy_id"),
     )
@@ -277,7 +284,7 @@ def _stream_detect_url(spark, sf_dir):
     )
     published = spark.read.parquet(target).where(F.col("output") == "violations")
     fields = PAGE + ", violations array<struct<policyId:bigint>>"
-    return _flat(_reread(published, fields, "none"), "page_id", "requesturl")
+    return _flat(_reread(published, fields, "gzip"), "page_id", "requesturl")
 
 
 def _stream_promote(spark, sf_dir):
@@ -287,9 +294,7 @@ def _stream_promote(spark, sf_dir):
         lambda stream: route_promote(stream, out_codec="snappy"),
     )
     published = spark.read.parquet(target).where(F.col("output") == "violations")
-    return _flat(
-        _reread(published, PUBLISHED, "snappy"), "event_id", "event_type", "user_id", "value"
-    )
+    return _flat(_reread(published, PUBLISHED + CUSTOM, "snappy"), *WHOLE, _seconds(), _custom())
 
 
 def _stream_two_sinks(spark, sf_dir):
@@ -307,6 +312,54 @@ def _stream_two_sinks(spark, sf_dir):
     return flagged.unionByName(spark.read.parquet(bad).select(*columns))
 
 
+def _detect_many_rules(spark, sf_dir):
+    kinds = ("view", "click", "purchase", "sign", "err", "i", "e")
+    rules = [
+        Rule(8000 + 10 * n + k, F.contains("event_type", F.lit(kind)) & (F.col("event_id") % 10 == n))
+        for n in range(10)
+        for k, kind in enumerate(kinds)
+    ]
+    envelopes = pack_table(_table(spark, sf_dir, "events"), "gzip", 100)
+    return _flat(detect(envelopes, rules, fields=EVENT), "event_id", "event_type")
+
+
+def _listed(envelopes: DataFrame) -> DataFrame:
+    rules = [rule_contains("event_type", "err", POLICY), rule_contains("event_type", "view", 17)]
+    return route_detect(envelopes, rules, fields=EVENT, form="lists", max_message_bytes=2_000)
+
+
+def _detect_lists(spark, sf_dir):
+    routed = _listed(pack_table(_table(spark, sf_dir, "events"), "gzip", 100))
+    published = routed.where(F.col("output") == "violations")
+    return _flat(_reread(published, PUBLISHED, "gzip"), *WHOLE, _seconds())
+
+
+def _stream_detect_lists(spark, sf_dir):
+    target = _streamed(spark, pack_table(_table(spark, sf_dir, "events"), "gzip", 100), _listed)
+    published = spark.read.parquet(target).where(F.col("output") == "violations")
+    return _flat(_reread(published, PUBLISHED, "gzip"), *WHOLE, _seconds())
+
+
+def _stream_restart(spark, sf_dir):
+    """Half of the envelopes, a stop, then the rest with two sinks on the path of the first run."""
+    rules = [rule_contains("requesturl", "example", POLICY)]
+    envelopes = _damaged_pages(spark, sf_dir)
+    source, target, progress = (scratch(spark, n) for n in ("envelopes", "violations", "progress"))
+    halves = [envelopes.where(F.col("offset") % 2 == k) for k in range(2)]
+    for half, more in zip(halves, ({}, {"quarantine_sink": FileSink(target)})):
+        half.write.mode("append").parquet(source)
+        stream = read_envelopes(spark, path=source, streaming=True)
+        run_detection(
+            route_detect(stream, rules, fields=PAGE),
+            FileSink(target),
+            progress,
+            available_now=True,
+            **more,
+        ).awaitTermination()
+    reason = F.coalesce("reason", F.lit("")).alias("reason")
+    return spark.read.parquet(target).select("output", F.col("offset").alias("page_id"), reason)
+
+
 QUERIES: dict[str, Query] = {
     "decode_none": _decode("none"),
     "decode_gzip": _decode("gzip"),
@@ -332,6 +385,10 @@ QUERIES: dict[str, Query] = {
     "stream_detect_url": _stream_detect_url,
     "stream_promote": _stream_promote,
     "stream_two_sinks": _stream_two_sinks,
+    "detect_many_rules": _detect_many_rules,
+    "detect_lists": _detect_lists,
+    "stream_detect_lists": _stream_detect_lists,
+    "stream_restart": _stream_restart,
 }
 
 _DECODE_SQL = "SELECT page_id, url, md5(html) AS html_md5 FROM pages"
@@ -346,12 +403,21 @@ _MATCHES_SQL = " UNION ALL ".join(
     for n, (token, policy) in enumerate(PAGE_RULES)
 )
 
+_WHOLE_SQL = "event_id, event_type, user_id, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts"
+
 _PUBLISHED_SQL = f"""
-SELECT event_id, event_type, user_id, value, CAST({POLICY} AS BIGINT) AS policy_id
+SELECT {_WHOLE_SQL}, CAST({POLICY} AS BIGINT) AS policy_id
 FROM events WHERE contains(event_type, 'err')"""
 
+_LISTED_SQL = f"""{_PUBLISHED_SQL}
+UNION ALL SELECT {_WHOLE_SQL}, CAST(17 AS BIGINT) FROM events WHERE contains(event_type, 'view')"""
+
 _CUSTOM_SQL = "CAST(json_extract(props, '$.k') AS BIGINT)"
 
+_PROMOTED_SQL = (
+    f"SELECT {_WHOLE_SQL}, {_CUSTOM_SQL} AS custom_id, {_CUSTOM_SQL} AS policy_id FROM events"
+)
+
 _DAMAGE_SQL = """
 SELECT page_id, -1 AS pos, 'decompress' AS reason FROM pages WHERE page_id % 7 IN (0, 1)
 UNION ALL SELECT page_id, -1, 'parse' FROM pages WHERE page_id % 7 = 2
@@ -394,13 +460,13 @@ FROM pages WHERE length(url) > 50""",
 SELECT count(event_id) AS decoded, CAST(0 AS BIGINT) AS violating FROM events""",
     "promote_custom": f"SELECT event_id, {_CUSTOM_SQL} AS policy_id FROM events",
     "promote_missing": f"""
-SELECT event_id, CASE WHEN event_type = 'view' THEN {_CUSTOM_SQL} ELSE -1 END AS policy_id
+SELECT {_WHOLE_SQL}, CASE WHEN event_type = 'view' THEN {_CUSTOM_SQL} ELSE -1 END AS custom_id,
+       CASE WHEN event_type = 'view' THEN {_CUSTOM_SQL} ELSE -1 END AS policy_id
 FROM events""",
-    "promote_republish": f"""
-SELECT event_id, event_type, user_id, value, {_CUSTOM_SQL} AS policy_id FROM events""",
+    "promote_republish": _PROMOTED_SQL,
     "republish_roundtrip": _PUBLISHED_SQL,
     "replace_violations": f"""
-SELECT event_id, 1 AS n, CAST({POLICY} AS BIGINT) AS policy_id
+SELECT {_WHOLE_SQL}, 1 AS n, CAST({POLICY} AS BIGINT) AS policy_id
 FROM events WHERE contains(event_type, 'sign')""",
     "pack_roundtrip": """
 SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM documents WHERE n_chars > 0""",
@@ -412,9 +478,18 @@ SELECT page_id, url AS requesturl FROM pages WHERE page_id % 7 >= 4""",
 SELECT 'violations' AS output, page_id, 0 AS pos {_FLAGGED_SQL}
 UNION ALL SELECT 'quarantine', page_id, pos FROM ({_DAMAGE_SQL})""",
     "stream_detect_url": _DETECT_URL_SQL,
-    "stream_promote": f"""
-SELECT event_id, event_type, user_id, value, {_CUSTOM_SQL} AS policy_id FROM events""",
+    "stream_promote": _PROMOTED_SQL,
     "stream_two_sinks": f"""
 SELECT 'violations' AS output, page_id, '' AS reason {_FLAGGED_SQL}
+UNION ALL SELECT 'quarantine', page_id, reason FROM ({_DAMAGE_SQL})""",
+    "detect_many_rules": """
+SELECT event_id, event_type, 8000 + 10 * (event_id % 10) + k AS policy_id
+FROM events, (VALUES (0, 'view'), (1, 'click'), (2, 'purchase'), (3, 'sign'), (4, 'err'), (5, 'i'),
+              (6, 'e')) AS kinds(k, kind)
+WHERE contains(event_type, kind)""",
+    "detect_lists": _LISTED_SQL,
+    "stream_detect_lists": _LISTED_SQL,
+    "stream_restart": f"""
+SELECT 'violations' AS output, page_id, '' AS reason {_FLAGGED_SQL}
 UNION ALL SELECT 'quarantine', page_id, reason FROM ({_DAMAGE_SQL})""",
 }
