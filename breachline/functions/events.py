@@ -45,15 +45,13 @@ def custom_violations(event: Column, names: FieldNames = DEFAULT_NAMES) -> Colum
     return F.try_variant_get(event, f"$['{names.custom_violations}']", "variant")
 
 
-def violation_list(hits: list[tuple[int, Column]]) -> Column:
-    """One violation per policy whose boolean column is true, in the given order."""
-    if not hits:
+def violation_list(policy_ids: list[int], hits: Column) -> Column:
+    """One violation per policy whose entry in `hits` (array<boolean>) is true, in the given order."""
+    if not policy_ids:
         return F.array().cast(VIOLATION_LIST)
-    found = [
-        F.when(hit, F.struct(F.lit(policy_id).cast("bigint").alias("policyId")))
-        for policy_id, hit in hits
-    ]
-    return F.array_compact(F.array(*found)).cast(VIOLATION_LIST)
+    ids = F.array(*[F.lit(i).cast("bigint") for i in policy_ids])
+    found = F.zip_with(hits, ids, lambda hit, i: F.when(hit, F.struct(i.alias("policyId"))))
+    return F.array_compact(found).cast(VIOLATION_LIST)
 
 
 def named_violations(violations: Column, names: FieldNames = DEFAULT_NAMES) -> Column:

@@ -50,20 +50,23 @@ def apply_rules(
     `violating`, and of rows by `reason` where there is such a column.
     """
     exempt = F.lit(False) if unless is None else unless
-    outcomes = [F.coalesce(~exempt & r.predicate, F.lit(False)) for r in rules]
+    outcomes = [r.predicate if unless is None else ~exempt & r.predicate for r in rules]
     # All outcomes are one column, so that a UDF in a rule serves filter and list with one call.
     hits = unused_name(events.columns, "hits")
     judged = events.select(
         *[c for c in events.columns if c.lower() != "violations"],
         F.array(*outcomes).cast("array<boolean>").alias(hits),
     )
-    found = F.array_contains(hits, F.lit(True))
+    # Not `array_contains`: compiled together with many outcomes it makes a method too long for the
+    # JVM to optimise.
+    found = F.exists(hits, lambda hit: hit)
     if counts is not None:
         judged = judged.observe(counts, *_counts(events, exempt, found))
     if only_violating:
         judged = judged.where(exempt | found)
-    matches = [(r.policy_id, F.get(hits, F.lit(i))) for i, r in enumerate(rules)]
-    return judged.withColumn("violations", violation_list(matches)).drop(hits)
+    return judged.withColumn(
+        "violations", violation_list([r.policy_id for r in rules], F.col(hits))
+    ).drop(hits)
 
 
 def _counts(events: DataFrame, exempt: Column, found: Column) -> list[Column]:
