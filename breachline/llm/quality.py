@@ -9,7 +9,7 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import hide, kept_by_worker
@@ -23,8 +23,8 @@ _SLICE = 1 << 20
 class Settings:
     """Size of the scorer and of the sample it is fitted to.
 
-    About `sample_docs` documents are drawn from either side of the weak labels; of each only hashed
-    features reach the driver, at most `buckets` numbers. The scorer has one weight per bucket.
+    At most `sample_docs` different texts are drawn from either side of the weak labels; of each only
+    hashed features reach the driver, at most `buckets` numbers. The scorer has one weight per bucket.
     """
 
     sample_docs: int = 2000
@@ -229,8 +229,10 @@ def score_documents(
         seen = frame.select(*columns, signals(text).alias("_signals"))
         return seen.withColumns({s: F.col(f"_signals.{s}") for s in _SIGNALS})
 
-    votes = voted(documents.select("text")).select(pattern.alias("pattern"))
-    counts = {tuple(r[0]): r[1] for r in votes.groupBy("pattern").count().collect()}
+    lettered = F.when(F.col("letters") > 0, F.xxhash64("text"))
+    votes = voted(documents.select("text"), "text").select(pattern.alias("pattern"), lettered.alias("text"))
+    seen = votes.groupBy("pattern").agg(F.count("*"), F.approx_count_distinct("text")).collect()
+    counts = {tuple(r[0]): r[1] for r in seen}
     prior, right = accuracies(counts)
     label = {
         p: float(posterior(np.array([p], float), prior, right)[0]) for p in counts
@@ -238,13 +240,21 @@ def score_documents(
     pairs = [F.lit(x) for p, v in label.items() for x in (",".join(map(str, p)), v)]
     known = F.create_map(*pairs).cast("map<string,double>")
     weak = F.try_element_at(known, F.array_join(pattern.cast("array<string>"), ","))
-    n_good = sum(n for p, n in counts.items() if label[p] >= 0.5)
-    n_bad = sum(counts.values()) - n_good
-    good_rate, bad_rate = (min(1.0, settings.sample_docs / max(1, n)) for n in (n_good, n_bad))
-
-    texts = voted(documents.select("text"), "text").select("text", weak.alias("label"))
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = texts.where(place < F.when(F.col("label") >= 0.5, good_rate).otherwise(bad_rate))
+    # Texts without letters are not drawn, as their quality is fixed, and copies are drawn once. A cut on
+    # the hash leaves somewhat more than the sample, from about how many texts there are; then it is exact.
+    n_good = sum(r[2] for r in seen if label[tuple(r[0])] >= 0.5)
+    n_bad = sum(r[2] for r in seen) - n_good
+    leave = 1.5 * settings.sample_docs + 100
+    good_rate, bad_rate = (min(1.0, leave / max(1, n)) for n in (n_good, n_bad))
+
+    texts = voted(documents.select("text"), "text").where(F.col("letters") > 0)
+    texts = texts.select("text", weak.alias("label"), F.xxhash64("text").alias("hash"))
+    texts = texts.withColumn("good", F.col("label") >= 0.5)
+    place = F.pmod(F.col("hash"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    thinned = texts.where(place < F.when(F.col("good"), good_rate).otherwise(bad_rate))
+    folded = thinned.groupBy("good", "hash").agg(F.max("text").alias("text"), F.max("label").alias("label"))
+    least = Window.partitionBy("good").orderBy(place, "hash")
+    drawn = folded.withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= settings.sample_docs)
     buckets = settings.buckets
 
     @F.pandas_udf("at array<int>, value array<double>")

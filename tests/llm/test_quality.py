@@ -82,3 +82,22 @@ def test_agrees_with_given_labels(spark):
     got = score_documents(docs, Settings(rounds=200)).join(labels.withColumnRenamed("quality", "truth"), "doc_id")
     data = got.select("quality", "truth").collect()
     assert sum((r["quality"] >= 0.5) == bool(r["truth"]) for r in data) >= 0.97 * len(data)
+
+
+def test_the_sample_is_bounded_and_of_different_texts_with_letters(spark, monkeypatch):
+    fitted = []
+
+    def fit(rows, settings, real=quality.fit):
+        fitted.extend(rows)
+        return real(rows, settings)
+
+    monkeypatch.setattr(quality, "fit", fit)
+    # Nulls, and for each of some texts a group of copies: whichever groups are drawn are drawn once.
+    extra = [(2000 + i, None, 0) for i in range(500)] + [(3000 + i, f"{GOOD} Copy {i % 9}.", 1) for i in range(900)]
+    got = score_documents(frame(spark, rows() + extra), Settings(sample_docs=40)).collect()
+    good = [r for r in fitted if r[2] >= 0.5]
+    # Of 129 and 60 different texts with letters.
+    assert len(good) == 40 and len(fitted) - len(good) == 40
+    junk = [r["quality"] for r in got if 1000 <= r["doc_id"] < 2000]
+    assert sum(q < 0.5 for q in junk) >= 57
+    assert all(r["quality"] == 0 for r in got if r["text"] is None)
