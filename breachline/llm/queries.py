@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from . import (
     html_extraction,
     language_id,
     line_dedup,
+    merkle,
     mixing,
     quality,
     simhash,
@@ -120,6 +122,25 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents, checked against rows of which some are tampered with."""
+    capitals, small = string.ascii_uppercase, string.ascii_lowercase
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    text = F.when(hit, F.translate("text", capitals, small)).otherwise(F.col("text"))
+    seen = merkle.leaf_digest(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text)
+    made = merkle.manifest(_table(spark, sf_dir, "documents"), carry={"seen": seen})
+    again = made.withColumn("folded_root", merkle.folded(F.col("seen"), F.col("proof")))
+    return again.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -131,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
     "op10_html_extraction": op10_html_extraction,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -220,5 +242,78 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, (w0 + w1)::BIGINT AS taken,
        2.0::DOUBLE * u / (s + sqrt(s * s + 2.0::DOUBLE * (e - s) * u)) AS first_position
 FROM shares
+""",
+    "op13_merkle": r"""
+WITH RECURSIVE base AS (
+    SELECT doc_id, source, sha256(concat(
+               coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'),
+               coalesce(strlen(source) || ':' || source, '-'),
+               coalesce(strlen(lang) || ':' || lang, '-'),
+               coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'))
+               || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+           sha256(concat(
+               coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'),
+               coalesce(strlen(source) || ':' || source, '-'),
+               coalesce(strlen(lang) || ':' || lang, '-'),
+               coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'))
+               || coalesce(strlen(text) || ':' || translate(text,
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS lowered
+    FROM documents
+), units AS (
+    SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS unit
+    FROM (SELECT DISTINCT source FROM documents)
+), bits AS (  -- CRC-32, bit by bit: eight steps for every byte of the id
+    SELECT DISTINCT doc_id, 4294967295::BIGINT AS crc, 0 AS step FROM documents WHERE doc_id IS NOT NULL
+    UNION ALL
+    SELECT doc_id, CASE WHEN now % 2 = 1 THEN xor(now // 2, 3988292384) ELSE now // 2 END, step + 1
+    FROM (SELECT doc_id, step, CASE WHEN step % 8 = 0
+                     THEN xor(crc, ascii(substr(doc_id::VARCHAR, step // 8 + 1, 1))::BIGINT)
+                     ELSE crc END AS now
+          FROM bits WHERE step < 8 * strlen(doc_id::VARCHAR))
+), tampered AS (
+    SELECT doc_id FROM bits
+    WHERE step = 8 * strlen(doc_id::VARCHAR) AND xor(crc, 4294967295::BIGINT) % 5 = 0
+), leaves AS (
+    SELECT b.doc_id, u.unit, b.leaf, CASE WHEN t.doc_id IS NULL THEN b.leaf ELSE b.lowered END AS seen,
+           row_number() OVER (PARTITION BY u.unit ORDER BY b.doc_id NULLS FIRST, b.leaf) - 1 AS place,
+           count(*) OVER (PARTITION BY u.unit) AS total
+    FROM base b JOIN units u ON b.source IS NOT DISTINCT FROM u.source
+        LEFT JOIN tampered t USING (doc_id)
+), tree AS (
+    SELECT unit, 0 AS lvl, place AS pos, leaf AS h, total AS n FROM leaves
+    UNION ALL
+    SELECT unit, lvl + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 15) // 16
+    FROM tree WHERE n > 1 GROUP BY unit, lvl, pos // 16
+), tops AS (
+    SELECT unit, lvl AS depth, h FROM tree WHERE n = 1
+), upper AS (
+    SELECT 0 AS lvl, unit AS pos, h, (SELECT count(*) FROM tops) AS n FROM tops
+    UNION ALL
+    SELECT lvl + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 15) // 16
+    FROM upper WHERE n > 1 GROUP BY lvl, pos // 16
+), runs AS (
+    SELECT unit, lvl, pos // 16 AS run, list(h ORDER BY pos) AS hs FROM tree WHERE n > 1 GROUP BY ALL
+    UNION ALL
+    SELECT -1, lvl, pos // 16, list(h ORDER BY pos) FROM upper WHERE n > 1 GROUP BY ALL
+), walk AS (
+    SELECT doc_id, leaf, l.unit, unit AS tree_of, place AS pos, 0 AS lvl, seen AS now, '' AS proof, depth
+    FROM leaves l JOIN tops t USING (unit)
+    UNION ALL
+    SELECT doc_id, leaf, w.unit,
+           CASE WHEN w.lvl + 1 = depth AND tree_of >= 0 THEN -1 ELSE tree_of END,
+           CASE WHEN w.lvl + 1 = depth AND tree_of >= 0 THEN w.unit ELSE pos // 16 END,
+           CASE WHEN w.lvl + 1 = depth AND tree_of >= 0 THEN 0 ELSE w.lvl + 1 END,
+           sha256(array_to_string(hs[1:pos % 16], '') || now || array_to_string(hs[pos % 16 + 2:], '')),
+           proof || array_to_string(hs[1:pos % 16], '') || array_to_string(hs[pos % 16 + 2:], ''), depth
+    FROM (SELECT * REPLACE (CASE WHEN depth = 0 AND tree_of >= 0 THEN -1 ELSE tree_of END AS tree_of,
+                            CASE WHEN depth = 0 AND tree_of >= 0 THEN unit ELSE pos END AS pos) FROM walk) w
+        JOIN runs r ON r.unit = w.tree_of AND r.lvl = w.lvl AND r.run = w.pos // 16
+), ends AS (
+    SELECT *, (SELECT h FROM upper WHERE n = 1) AS root, (SELECT max(lvl) FROM upper) AS height FROM walk
+)
+SELECT doc_id, leaf, t.h AS subroot, root, sha256(proof) AS proof_sha256, now AS folded_root,
+       now = root AS verified
+FROM ends e JOIN tops t USING (unit)
+WHERE (tree_of = -1 AND lvl = height) OR (height = 0 AND e.depth = 0)
 """,
 }
