@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from . import (
     decontamination,
     embedding_dedup,
+    filter_audit,
     html_extraction,
     language_id,
     line_dedup,
     merkle,
     mixing,
     quality,
+    quality_rules,
     simhash,
     suffix_dedup,
     token_counts,
@@ -122,6 +124,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of every source, in all orders."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by rules that vote, and whether to keep it."""
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return judged.select("doc_id", *base, "kept", F.round("quality", 6).alias("quality"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of all documents, checked against rows of which some are tampered with."""
     capitals, small = string.ascii_uppercase, string.ascii_lowercase
@@ -152,6 +166,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
     "op10_html_extraction": op10_html_extraction,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_quality_rules": op12_quality_rules,
     "op13_merkle": op13_merkle,
 }
 
@@ -242,6 +258,56 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, (w0 + w1)::BIGINT AS taken,
        2.0::DOUBLE * u / (s + sqrt(s * s + 2.0::DOUBLE * (e - s) * u)) AS first_position
 FROM shares
+""",
+    "op11_filter_audit": r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+), worded AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+           min(doc_id) OVER (PARTITION BY text) AS least
+    FROM texts
+), known AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), marked AS (
+    SELECT part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+           100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+           regexp_matches(text, '[#$%&*|]') AS d, coalesce(doc_id > least, false) AS e,
+           coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+    FROM worded LEFT JOIN known USING (doc_id)
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+    SELECT filter_order, step::INTEGER AS step, filter_order[step] AS letter,
+           filter_order[1:step - 1] AS before
+    FROM orders, range(1, 6) t(step)
+), masks AS (
+    SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END,
+                        CASE WHEN c THEN 'C' ELSE '' END, CASE WHEN d THEN 'D' ELSE '' END,
+                        CASE WHEN e THEN 'E' ELSE '' END) AS mask,
+           count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM marked GROUP BY ALL
+), judged AS (
+    SELECT *, contains(mask, letter) AS fails,
+           len(list_intersect(string_split(mask, ''), string_split(before, ''))) > 0
+               AND mask <> '' AND before <> '' AS gone
+    FROM masks, steps
+), counted AS (
+    SELECT part, filter_order, step, letter,
+           coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (mask = letter), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
+    FROM judged GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted
 """,
     "op13_merkle": r"""
 WITH RECURSIVE base AS (

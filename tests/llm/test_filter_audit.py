@@ -1,0 +1,120 @@
+"""The filter audit against plain loops over documents and orders."""
+
+from collections import Counter
+from itertools import permutations
+
+from pyspark.sql import functions as F
+
+from breachline.llm import filter_audit
+
+SCHEMA = "doc_id bigint, source string, text string, mask int, part string"
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+def audited(rows, labels):
+    """Rows of the audit; documents are (doc_id, source, text)."""
+    least = {}
+    for d, _, t in rows:
+        if d is not None:
+            least[t or ""] = min(d, least.get(t or "", d))
+    marked = []
+    for d, s, t in rows:
+        t = t or ""
+        words = t.encode().split()
+        fails = "".join(
+            letter
+            for letter, bad in zip(
+                "ABCDE",
+                (
+                    len(words) < 200,
+                    100 * len(set(words)) < 50 * len(words),
+                    100 * sum("A" <= c <= "Z" for c in t) > 2 * len(t),
+                    any(c in "#$%&*|" for c in t),
+                    d is not None and d > least[t],
+                ),
+            )
+            if bad
+        )
+        own = [(q, x) for k, q, x in labels if k == d and d is not None]
+        marked.append((s or "", fails, any(q == 1 for q, _ in own), any(x == 1 for _, x in own)))
+    out = {}
+    for part in {m[0] for m in marked}:
+        for order in permutations("ABCDE"):
+            for step, letter in enumerate(order):
+                n = Counter()
+                for p, fails, good, toxic in marked:
+                    if p == part:
+                        gone = any(x in fails for x in order[:step])
+                        n["kept"] += not gone and letter not in fails
+                        n["removed"] += not gone and letter in fails
+                        n["redundant"] += gone and letter in fails
+                        n["unique"] += fails == letter
+                        n["good"] += not gone and letter in fails and good
+                        n["toxic"] += not gone and letter in fails and toxic
+                out[part, "".join(order), step + 1] = n
+    return [
+        (p, o, k, n["kept"], n["removed"], n["redundant"], n["unique"], n["good"], n["toxic"],
+         sum(m["removed"] for (q, r, j), m in out.items() if q == p and r[j - 1] == o[k - 1]))
+        for (p, o, k), n in out.items()
+    ]
+
+
+LONG = " ".join(f"w{i}" for i in range(300))
+ROWS = [
+    (1, "a", LONG),
+    (2, "a", LONG),
+    (2, "a", LONG),
+    (3, None, "x " * 250),
+    (4, "", "SHOUTING $"),
+    (5, "b", None),
+    (6, "b", ""),
+    (None, "b", ""),
+    (None, None, LONG + " #"),
+    (7, "a", "é é \x1f\n\t\x0b\x0c\r é"),
+    (8, "a", LONG + " A" * 9),
+    (9, "a", LONG * 40),
+]
+MARKS = [(1, 1, 0), (2, 0, 1), (2, 1, None), (3, None, 1), (None, 1, 1), (8, 1, 1), (99, 1, 1)]
+
+
+def documents(spark, rows):
+    # Columns that the operator uses itself, as strangers.
+    return spark.createDataFrame([(*r, 7, "zz") for r in rows], SCHEMA).repartition(3)
+
+
+def test_all_orders_as_by_plain_loops(spark):
+    labels = spark.createDataFrame(MARKS, LABELS)
+    for shard_bytes in (1, 4 << 20):
+        got = filter_audit.audit(documents(spark, ROWS), labels, shard_bytes).collect()
+        assert sorted(map(tuple, got)) == sorted(audited(ROWS, MARKS))
+
+
+def test_empty_tables(spark):
+    labels = spark.createDataFrame([], LABELS)
+    assert filter_audit.audit(documents(spark, []), labels).count() == 0
+    got = filter_audit.audit(documents(spark, ROWS[:3]), labels).collect()
+    assert sorted(map(tuple, got)) == sorted(audited(ROWS[:3], []))
+
+
+def test_matrix_gives_back_the_words(spark):
+    rows = documents(spark, ROWS).select("doc_id", "text")
+    cut = filter_audit.shards(rows, 2000).cache()
+    words = filter_audit.dictionary(cut)
+    names = {r["column"]: bytes(r["word"]) for r in words.collect()}
+    assert sorted(names) == list(range(len(names))) and len(set(names.values())) == len(names)
+    shards = Counter(bytes(w) for r in cut.collect() for w in r["words"])
+    assert shards == {bytes(r["word"]): r["n_shards"] for r in words.collect()}
+    got = []
+    for r in filter_audit.matrix(cut, words).collect():
+        for i, own in enumerate(r["rows"]):
+            a, b = r["row_ends"][i : i + 2]
+            found = {names[c]: n for c, n in zip(r["columns"][a:b], r["counts"][a:b])}
+            got.append((own["doc_id"], sorted(found.items())))
+    want = [(d, sorted(Counter((t or "").encode().split()).items())) for d, _, t in ROWS]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_every_shard_is_bounded(spark):
+    rows = documents(spark, ROWS).select("doc_id", F.lit("ten bytes.").alias("text")).coalesce(1)
+    sizes = sorted(len(r["rows"]) for r in filter_audit.shards(rows, 45).collect())
+    assert sizes == [4, 4, 4]
