@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import hashlib
+from collections.abc import Callable, Iterator, Sequence
 from itertools import permutations
 from math import factorial
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
 from .shared import stage
 
@@ -19,166 +22,239 @@ from .shared import stage
 FILTERS = "ABCDE"
 
 
-def shards(rows: DataFrame, shard_bytes: int = 4 << 20) -> DataFrame:
+#: What a text has beside its words: name, type, and how it is taken from the UTF-8 bytes.
+Measure = tuple[str, pa.DataType, Callable[[bytes], Any]]
+
+_INNER = bytes(range(0x80, 0xC0))
+_CAPITALS = bytes(range(65, 91))
+
+
+def _many_capitals(body: bytes) -> bool:
+    capitals = len(body) - len(body.translate(None, _CAPITALS))
+    return 100 * capitals > 2 * len(body.translate(None, _INNER))
+
+
+def _has_signs(body: bytes) -> bool:
+    return len(body) != len(body.translate(None, b"#$%&*|"))
+
+
+_FLAGS: tuple[Measure, ...] = (
+    ("c", pa.bool_(), _many_capitals),
+    ("d", pa.bool_(), _has_signs),
+    ("digest", pa.binary(), lambda body: hashlib.sha256(body).digest()),
+)
+
+
+def shards(
+    rows: DataFrame, shard_bytes: int = 8 << 20, measures: Sequence[Measure] = ()
+) -> DataFrame:
     """Cut rows into shards of a sparse document-term matrix, words numbered within the shard.
 
-    One row per shard: `shard`; `rows`, an array of the columns of its documents other than `text`;
-    `row_ends`, the number of entries up to each document's last (0 first); `columns`, the entries'
-    word numbers; `counts`, how often the word occurs; and `words`, the shard's words by number. A
-    shard holds whole documents of at most `shard_bytes` of text, or a single longer one. Words are
-    the maximal runs of other than ASCII white space, as bytes, so case and accents tell them apart.
+    One row per shard: `shard`; `rows`, an array of the columns of its documents other than `text`,
+    and of the `measures` of their texts; `row_ends`, the number of entries up to each document's
+    last (0 first); `columns`, the entries' word numbers; `counts`, how often the word occurs; and
+    `words`, the shard's words by number. A row has one entry for each of its words. A shard holds
+    whole documents of one partition, of at most `shard_bytes` of text or a single longer one; their
+    texts are not held together. Words are the maximal runs of other than ASCII white space, as
+    bytes, so case and accents tell them apart.
     """
     kept = [f for f in rows.schema if f.name != "text"]
+    inner = [f"`{f.name}`:{f.dataType.simpleString()}" for f in kept]
+    inner += [f"`{n}`:{from_arrow_type(kind).simpleString()}" for n, kind, _ in measures]
     schema = (
-        "shard bigint, rows array<struct<"
-        + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in kept)
-        + ">>, row_ends array<bigint>, columns array<int>, counts array<int>, words array<binary>"
+        f"shard bigint, rows array<struct<{','.join(inner)}>>, row_ends array<bigint>, "
+        "columns array<int>, counts array<int>, words array<binary>"
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A partition and a place in it: the same if a task runs again, as its input is.
         number = TaskContext.get().partitionId() << 33
+        held = _Shard(measures)
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
-            sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset))
-            rest = batch.drop_columns(["text"]).to_struct_array()
-            for first, last in _slices(sizes, shard_bytes):
-                yield _shard(number, rest.slice(first, last - first), texts.slice(first, last - first))
-                number += 1
-
-    return rows.select(*[f.name for f in kept], F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        cut, schema
-    )
+            texts = batch.column("text")
+            rest = batch.drop_columns(["text"])
+            first = 0
+            for i in range(len(texts)):
+                body = texts[i].as_buffer().to_pybytes()
+                if held.bodies and held.size + len(body) > shard_bytes:
+                    held.rest.append(rest.slice(first, i - first))
+                    yield held.batch(number)
+                    number, held, first = number + 1, _Shard(measures), i
+                held.add(body)
+            held.rest.append(rest.slice(first))
+        if held.bodies:
+            yield held.batch(number)
+
+    text = F.coalesce("text", F.lit("")).alias("text")
+    return rows.select(*[f.name for f in kept], text).mapInArrow(cut, schema)
+
+
+class _Shard:
+    """A shard in the making."""
+
+    def __init__(self, measures: Sequence[Measure]):
+        self.measures = measures
+        self.measured: list[tuple] = []
+        self.rest: list[pa.RecordBatch] = []
+        self.numbers: dict[bytes, int] = {}
+        self.columns: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.bodies = self.size = 0
+
+    def add(self, body: bytes) -> None:
+        # Splits at ASCII white space only, since these are bytes.
+        numbers = self.numbers
+        found = [numbers.setdefault(w, len(numbers)) for w in body.split()]
+        column, count = np.unique(np.array(found, np.int32), return_counts=True)
+        self.columns.append(column)
+        self.counts.append(count.astype(np.int32))
+        self.measured.append(tuple(take(body) for _, _, take in self.measures))
+        self.bodies += 1
+        self.size += len(body)
+
+    def batch(self, number: int) -> pa.RecordBatch:
+        rest = pa.Table.from_batches(self.rest).combine_chunks()
+        arrays = [c.combine_chunks() for c in rest.columns]
+        names = list(rest.column_names)
+        for (name, kind, _), values in zip(self.measures, zip(*self.measured)):
+            arrays.append(pa.array(values, kind))
+            names.append(name)
+
+        def whole(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+        ends = np.cumsum([0, *map(len, self.columns)])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([number], pa.int64()),
+                whole(pa.StructArray.from_arrays(arrays, names)),
+                whole(pa.array(ends, pa.int64())),
+                whole(pa.array(np.concatenate(self.columns))),
+                whole(pa.array(np.concatenate(self.counts))),
+                whole(pa.array(list(self.numbers), pa.binary())),
+            ],
+            ["shard", "rows", "row_ends", "columns", "counts", "words"],
+        )
 
 
-def _slices(sizes: np.ndarray, room: int) -> Iterator[tuple[int, int]]:
-    first, held = 0, 0
-    for i, size in enumerate(sizes.tolist()):
-        if i > first and held + size > room:
-            yield first, i
-            first, held = i, 0
-        held += size
-    if first < len(sizes):
-        yield first, len(sizes)
+def _code(word: Column, bits: int) -> Column:
+    return F.xxhash64(word).bitwiseAND((1 << bits) - 1)
 
 
-def _shard(number: int, rest: pa.StructArray, texts: pa.Array) -> pa.RecordBatch:
-    numbers: dict[bytes, int] = {}
-    columns, counts, ends = [], [], [0]
-    for text in texts:
-        # Splits at ASCII white space only, since these are bytes.
-        words = text.as_py().split()
-        found = [numbers.setdefault(w, len(numbers)) for w in words]
-        column, count = np.unique(np.array(found, np.int32), return_counts=True)
-        columns.append(column)
-        counts.append(count.astype(np.int32))
-        ends.append(ends[-1] + len(column))
-
-    def whole(values: pa.Array) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([number], pa.int64()),
-            whole(rest),
-            whole(pa.array(ends, pa.int64())),
-            whole(pa.array(np.concatenate(columns))),
-            whole(pa.array(np.concatenate(counts))),
-            whole(pa.array(list(numbers), pa.binary())),
-        ],
-        ["shard", "rows", "row_ends", "columns", "counts", "words"],
-    )
+def _coded(shards: DataFrame, bits: int) -> DataFrame:
+    """`word`, `_code` and `n_shards`; all words of one code lie in one partition."""
+    words = shards.select(F.explode("words").alias("word"))
+    # One row per word and shard goes to its code's partition, so a word of all documents is no hot
+    # key, and one shuffle serves the words and their codes.
+    dealt = words.withColumn("_code", _code(F.col("word"), bits)).repartition("_code")
+    return dealt.groupBy("_code", "word").agg(F.count("*").alias("n_shards"))
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """The words of all shards: `word`, its number `column` from 0, and `n_shards` that have it.
+def clashes(shards: DataFrame, bits: int = 63) -> DataFrame:
+    """Words whose number is not their code, as another word has it: `word` and `column`.
 
-    Only one row per word and shard is shuffled, and one per word and task after partial counts, so
-    a word that all documents have is no hot key.
+    The first word of a code, by its bytes, has the code; others get negative numbers. There are
+    next to none, but the numbers are right however many there are.
     """
-    words = stage(
-        shards.select(F.explode("words").alias("word"))
-        .groupBy("word")
-        .agg(F.count("*").alias("n_shards"))
-        .withColumn("_at", F.monotonically_increasing_id())
+    coded = _coded(shards, bits)
+    shared = coded.groupBy("_code").agg(F.count("*").alias("_n")).where("_n > 1").select("_code")
+    others = stage(shared).join(_coded(shards, bits), "_code")
+    nth = F.row_number().over(Window.partitionBy("_code").orderBy("word"))
+    others = others.withColumn("_nth", nth).where("_nth > 1")
+    return stage(others.select("word", (-1 - F.monotonically_increasing_id()).alias("column")))
+
+
+def dictionary(shards: DataFrame, clashing: DataFrame, bits: int = 63) -> DataFrame:
+    """All words: `word`, its number `column` in the matrix, and `n_shards`, the shards that have it."""
+    others = clashing.withColumnRenamed("column", "_other")
+    return _coded(shards, bits).join(others, "word", "left").select(
+        "word", F.coalesce("_other", "_code").alias("column"), "n_shards"
     )
-    # Dense numbers: the place in the partition after all words of earlier partitions. The window
-    # runs over partitions, of which there is one row each.
-    words = words.withColumn("_part", F.shiftright("_at", 33))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = words.groupBy("_part").agg(F.count("*").alias("_n"))
-    ahead = stage(ahead.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead")))
-    column = F.col("_ahead") + F.col("_at").bitwiseAND((1 << 33) - 1)
-    return words.join(ahead, "_part").select("word", column.alias("column"), "n_shards")
 
 
-def matrix(shards: DataFrame, words: DataFrame) -> DataFrame:
-    """The shards with the numbers of the dictionary in `columns` (bigint), without `words`.
+def _numbered(shards: DataFrame, clashing: DataFrame, bits: int) -> DataFrame:
+    """The shards with `_numbers`, those of their words, in place of the words.
 
-    A shard sends its list of words only, not its entries, and gets back the list of their numbers.
+    A word's number follows from the word, so shards are coded where they are; only those that hold
+    clashing words look these up.
     """
-    local = shards.select("shard", F.posexplode("words").alias("_local", "word"))
-    numbers = (
-        local.join(words.select("word", "column"), "word")
-        .groupBy("shard")
-        .agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("_local", "column"))), lambda w: w["column"]
-            ).alias("_numbers")
+    numbered = shards.withColumn("_numbers", F.transform("words", lambda w: _code(w, bits)))
+    if not clashing.isEmpty():
+        local = shards.select("shard", F.posexplode("words").alias("_local", "word"))
+        other = local.join(clashing, "word").groupBy("shard").agg(
+            F.map_from_entries(F.collect_list(F.struct("_local", "column"))).alias("_other")
         )
-    )
-    joined = shards.drop("words").join(numbers, "shard", "left")
-    out = [f for f in joined.schema if f.name not in ("_numbers", "columns")]
+        corrected = F.transform(
+            "_numbers", lambda n, i: F.coalesce(F.try_element_at("_other", i), n)
+        )
+        numbered = numbered.join(other, "shard", "left")
+        numbered = numbered.withColumn(
+            "_numbers", F.when(F.col("_other").isNull(), F.col("_numbers")).otherwise(corrected)
+        ).drop("_other")
+    return numbered.drop("words")
+
+
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Each shard with the numbers of its entries' words."""
+    for batch in batches:
+        for i in range(len(batch)):
+            row = batch.slice(i, 1)
+            local = row.column("columns")[0].values.to_numpy()
+            yield row, row.column("_numbers")[0].values.to_numpy()[local]
+
+
+def matrix(shards: DataFrame, clashing: DataFrame, bits: int = 63) -> DataFrame:
+    """The shards with the numbers of the dictionary in `columns` (bigint), without `words`."""
+    out = [f for f in shards.schema if f.name not in ("words", "columns")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out) + ", columns array<bigint>"
 
     def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = []
-            for i in range(len(batch)):
-                local = batch.column("columns")[i].values.to_numpy()
-                found = batch.column("_numbers")[i].values
-                lists.append(local if found is None else found.to_numpy()[local])
-            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-            flat = np.concatenate(lists) if lists else np.empty(0)
-            columns = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int64)))
+        for row, found in _rows_of(batches):
+            columns = pa.ListArray.from_arrays(
+                pa.array([0, len(found)], pa.int32()), pa.array(found, pa.int64())
+            )
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(f.name) for f in out], columns], [*[f.name for f in out], "columns"]
+                [*[row.column(f.name) for f in out], columns], [*[f.name for f in out], "columns"]
             )
 
-    return joined.mapInArrow(renumber, schema)
+    return _numbered(shards, clashing, bits).mapInArrow(renumber, schema)
 
 
-def row_sums(matrix: DataFrame) -> DataFrame:
+def row_sums(shards: DataFrame, clashing: DataFrame, bits: int = 63) -> DataFrame:
     """The documents of the matrix, with `n_words` (row sum) and `n_distinct` (nonzero entries).
 
-    A row has one entry for each of its words, since each column is one word.
+    Entries get their dictionary numbers in the same pass, so the matrix itself is not stored again.
     """
-    inner = matrix.schema["rows"].dataType.elementType
+    inner = shards.schema["rows"].dataType.elementType
     schema = (
         ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner)
         + ", n_words bigint, n_distinct bigint"
     )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                documents = batch.column("rows")[i].values
-                ends = batch.column("row_ends")[i].values.to_numpy()
-                counts = batch.column("counts")[i].values.to_numpy()
-                upto = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *documents.flatten(),
-                        pa.array(upto[ends[1:]] - upto[ends[:-1]], pa.int64()),
-                        pa.array(np.diff(ends), pa.int64()),
-                    ],
-                    [*[f.name for f in inner], "n_words", "n_distinct"],
-                )
-
-    return matrix.mapInArrow(add, schema)
-
-
-def failures(documents: DataFrame, shard_bytes: int = 4 << 20) -> DataFrame:
+        for shard, columns in _rows_of(batches):
+            ends = shard.column("row_ends")[0].values.to_numpy()
+            counts = shard.column("counts")[0].values.to_numpy()
+            upto = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+            # Entries of one row and column count once.
+            row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            order = np.lexsort((columns, row))
+            row, columns = row[order], columns[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (columns[1:] != columns[:-1])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *shard.column("rows")[0].values.flatten(),
+                    pa.array(upto[ends[1:]] - upto[ends[:-1]], pa.int64()),
+                    pa.array(np.bincount(row[new], minlength=len(ends) - 1), pa.int64()),
+                ],
+                [*[f.name for f in inner], "n_words", "n_distinct"],
+            )
+
+    return _numbered(shards, clashing, bits).mapInArrow(add, schema)
+
+
+def failures(documents: DataFrame, shard_bytes: int = 8 << 20, bits: int = 63) -> DataFrame:
     """Which filters each document fails: `doc_id`, `source`, `n_words`, `n_distinct`, `mask`.
 
     `mask` has bit 0 for A (under 200 words), 1 for B (under half of the words distinct), 2 for C
@@ -188,18 +264,8 @@ def failures(documents: DataFrame, shard_bytes: int = 4 << 20) -> DataFrame:
     no other fail it. Copies are found by digest of the text: first places are aggregated before the
     shuffle, and only texts that occur again are joined, which Spark splits where they are many.
     """
-    text = F.coalesce("text", F.lit(""))
-    capitals = F.length(F.regexp_replace(text, "[^A-Z]+", ""))
-    rows = documents.select(
-        "doc_id",
-        "source",
-        (100 * capitals.cast("long") > 2 * F.length(text)).alias("c"),
-        text.rlike("[#$%&*|]").alias("d"),
-        F.sha2(text, 256).alias("digest"),
-        text.alias("text"),
-    )
-    cut = stage(shards(rows, shard_bytes))
-    judged = stage(row_sums(matrix(cut, dictionary(cut))))
+    cut = stage(shards(documents.select("doc_id", "source", "text"), shard_bytes, _FLAGS))
+    judged = stage(row_sums(cut, clashes(cut, bits), bits))
     again = (
         judged.groupBy("digest")
         .agg(F.min("doc_id").alias("_least"), F.count("*").alias("_n"))
@@ -277,14 +343,17 @@ def interactions(
     )
 
 
-def audit(documents: DataFrame, labels: DataFrame, shard_bytes: int = 4 << 20) -> DataFrame:
+def audit(
+    documents: DataFrame, labels: DataFrame, shard_bytes: int = 8 << 20, bits: int = 63
+) -> DataFrame:
     """The interactions of the five filters over all documents, by source (null: empty `part`).
 
     `labels` has `doc_id`, `quality` and `toxic`; several rows of one id count as one, which is good
     or toxic if any of them is. Equal rows of documents count each. Null ids have no label. Columns
-    not named are not read. An empty table gives no rows.
+    not named are not read. An empty table gives no rows. Words are numbered by `bits` bits of their
+    hash, and those that share them apart.
     """
-    marked = failures(documents, shard_bytes)
+    marked = failures(documents, shard_bytes, bits)
     known = labels.groupBy("doc_id").agg(
         F.max(F.col("quality") == 1).alias("_good"), F.max(F.col("toxic") == 1).alias("_toxic")
     )

@@ -3,6 +3,7 @@
 from collections import Counter
 from itertools import permutations
 
+import pytest
 from pyspark.sql import functions as F
 
 from breachline.llm import filter_audit
@@ -84,8 +85,9 @@ def documents(spark, rows):
 
 def test_all_orders_as_by_plain_loops(spark):
     labels = spark.createDataFrame(MARKS, LABELS)
-    for shard_bytes in (1, 4 << 20):
-        got = filter_audit.audit(documents(spark, ROWS), labels, shard_bytes).collect()
+    # Of four bits, most words share their number with others.
+    for shard_bytes, bits in ((1, 4), (8 << 20, 63)):
+        got = filter_audit.audit(documents(spark, ROWS), labels, shard_bytes, bits).collect()
         assert sorted(map(tuple, got)) == sorted(audited(ROWS, MARKS))
 
 
@@ -96,16 +98,19 @@ def test_empty_tables(spark):
     assert sorted(map(tuple, got)) == sorted(audited(ROWS[:3], []))
 
 
-def test_matrix_gives_back_the_words(spark):
+@pytest.mark.parametrize("bits", [4, 63])
+def test_matrix_gives_back_the_words(spark, bits):
     rows = documents(spark, ROWS).select("doc_id", "text")
     cut = filter_audit.shards(rows, 2000).cache()
-    words = filter_audit.dictionary(cut)
-    names = {r["column"]: bytes(r["word"]) for r in words.collect()}
-    assert sorted(names) == list(range(len(names))) and len(set(names.values())) == len(names)
+    clashing = filter_audit.clashes(cut, bits)
+    assert clashing.isEmpty() == (bits == 63)
+    words = filter_audit.dictionary(cut, clashing, bits).collect()
+    names = {r["column"]: bytes(r["word"]) for r in words}
+    assert len(names) == len(words) == len(set(names.values()))
     shards = Counter(bytes(w) for r in cut.collect() for w in r["words"])
-    assert shards == {bytes(r["word"]): r["n_shards"] for r in words.collect()}
+    assert shards == {bytes(r["word"]): r["n_shards"] for r in words}
     got = []
-    for r in filter_audit.matrix(cut, words).collect():
+    for r in filter_audit.matrix(cut, clashing, bits).collect():
         for i, own in enumerate(r["rows"]):
             a, b = r["row_ends"][i : i + 2]
             found = {names[c]: n for c, n in zip(r["columns"][a:b], r["counts"][a:b])}

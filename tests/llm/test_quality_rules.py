@@ -106,7 +106,7 @@ def test_em_finds_how_far_rules_can_be_trusted():
         vote = np.where(right == good, 1, -1)
         votes.append(np.where(rng.random(len(good)) < speaks, vote, 0))
     patterns, counts = np.unique(np.stack(votes, 1), axis=0, return_counts=True)
-    fit = quality_rules.estimate(tuple("abcd"), patterns, counts.astype(float))
+    fit = quality_rules.estimate(tuple("abcd"), patterns, counts.astype(float), 1000, trust=0)
     assert list(fit.accuracies.values()) == pytest.approx([0.95, 0.8, 0.65, 0.9], abs=0.04)
     assert fit.prior == pytest.approx(0.7, abs=0.04)
 
