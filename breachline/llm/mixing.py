@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import stage, word_count
+from .shared import hide, stage, word_count
 
 #: Documents of a source are dealt to this many buckets (three hex digits), so that running totals
 #: never need one task to hold a source.
@@ -63,7 +63,8 @@ def mix(
     One row per document: `doc_id`, `source`, `size` (its words), `source_size`, `target`, `taken`
     (words, repeats counted) and `passes`, an array of structs `words` and `position`, one for each
     time the document is read; a pass that takes nothing is left out. `carry` names further columns
-    to keep, which are in a struct, `carried`, so that they clash with none.
+    to keep, which are in a struct, `carried`, so that they clash with none; they take part in every
+    shuffle, so they should be small. `in_training_order` brings whole documents in last.
 
     A source is laid out in the order of the MD5 of its ids, over and over, up to its target,
     rounded to a word. So whole documents are taken but for the one that the target cuts, of which
@@ -92,8 +93,7 @@ def mix(
         word_count(F.col("text")).alias("size"),
         *([F.struct(*carry).alias("carried")] if carry else []),
     ).withColumn("_bucket", F.substring("_order", 1, _BUCKET_DIGITS))
-    # Words are counted once, unless that would mean storing what is carried as well.
-    rows = rows if carry else stage(rows)
+    rows = stage(rows)
 
     source, bucket = ["_none", "_name"], ["_none", "_name", "_bucket"]
     buckets = stage(rows.groupBy(*bucket).agg(F.sum("size").alias("_in")))
@@ -153,3 +153,29 @@ def training_order(plan: DataFrame) -> DataFrame:
         {"pass_words": F.col("_pass.words"), "position": F.col("_pass.position")}
     )
     return due.drop("_pass").orderBy("position", "doc_id")
+
+
+def in_training_order(documents: DataFrame, **settings) -> DataFrame:
+    """Whole documents in the order of training, one row per pass, in all their columns.
+
+    `size`, `pass_words` and `position` are added, or replace columns of these names; `settings` are
+    those of `mix`. The plan is made on ids and sizes alone. Texts are shuffled twice: when they meet
+    their passes, and for the sort; the table between is stored, so that the look at it which sets
+    the ranges of the sort is a scan. A row number joins them, so repeated rows and null ids are
+    right.
+    """
+    added = ("size", "pass_words", "position")
+    carried, restored = hide(documents, ("doc_id", "source", "text"), without=added)
+    rows = stage(documents.select(*carried, F.monotonically_increasing_id().alias("_row")))
+    plan = mix(rows.select("doc_id", "source", "text", "_row"), carry=("_row",), **settings)
+    passes = stage(plan.where(F.size("passes") > 0).select("carried._row", "size", "passes"))
+    # A struct of its own, so that no document's column is taken for the plan's.
+    met = F.struct("size", "passes").alias("_plan")
+    joined = stage(rows.join(passes.select("_row", met), "_row").drop("_row"))
+    due = joined.withColumn("_pass", F.explode("_plan.passes"))
+    return due.orderBy(F.col("_pass.position"), "doc_id").select(
+        *restored.values(),
+        F.col("_plan.size").alias("size"),
+        F.col("_pass.words").alias("pass_words"),
+        F.col("_pass.position").alias("position"),
+    )
