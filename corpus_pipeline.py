@@ -10,7 +10,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachline.llm import decontamination, language_id, line_dedup, mixing, shingle_dedup
+from breachline.llm import decontamination, language_id, line_dedup, mixing, simhash
 from breachline.llm.shared import release_staged, shared_folder, staged
 
 
@@ -52,8 +52,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_tidy
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: 5-word shingles, a similarity of 0.8 or more."""
-    return shingle_dedup.keep_first(docs).select(*docs.columns)
+    """One document of each group of near-duplicates: 4-word shingles, up to four differing bits."""
+    return simhash.keep_first(docs, distance=4, shingle=4).select(*docs.columns)
 
 
 @_tidy
@@ -69,11 +69,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     `size`, `pass_words` and `position` are added, and replace columns of these names.
     """
-    added = ("size", "pass_words", "position")
-    carry = [c for c in docs.columns if c not in ("doc_id", "source", *added)]
-    ordered = mixing.training_order(mixing.mix(docs, carry=carry))
-    back = [F.col(f"carried.{c}") if c in carry else F.col(c) for c in docs.columns if c not in added]
-    return ordered.select(*back, *added)
+    return mixing.in_training_order(docs)
 
 
 STAGES = [
