@@ -6,6 +6,7 @@ from pyspark import cloudpickle
 
 from .operators import (
     Rule,
+    TokenRules,
     apply_rules,
     decode_events,
     decode_lists,
@@ -16,9 +17,12 @@ from .operators import (
     only_violations,
     pack_events,
     promote_custom_violations,
+    python_rule,
     quarantine,
     quarantine_of,
+    read_rules,
     rule_contains,
+    rules_of,
 )
 from .plans import detect, promote, route_detect, route_promote
 from .schemas import ENVELOPE, FieldNames
@@ -35,6 +39,7 @@ __all__ = [
     "FileSink",
     "KafkaSink",
     "Rule",
+    "TokenRules",
     "apply_rules",
     "decode_events",
     "decode_lists",
@@ -49,12 +54,15 @@ __all__ = [
     "pack_events",
     "promote",
     "promote_custom_violations",
+    "python_rule",
     "quarantine",
     "quarantine_of",
     "read_envelopes",
+    "read_rules",
     "route_detect",
     "route_promote",
     "rule_contains",
+    "rules_of",
     "run_detection",
     "write_violations",
 ]

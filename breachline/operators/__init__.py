@@ -11,10 +11,20 @@ from .decode import (
 )
 from .encode import encode_events, pack_events, route_events, route_promoted_lists
 from .promote import promote_custom_violations
-from .rules import Rule, apply_rules, only_violations, rule_contains
+from .rules import (
+    Rule,
+    TokenRules,
+    apply_rules,
+    only_violations,
+    python_rule,
+    read_rules,
+    rule_contains,
+    rules_of,
+)
 
 __all__ = [
     "Rule",
+    "TokenRules",
     "apply_rules",
     "decode_events",
     "decode_lists",
@@ -25,9 +35,12 @@ __all__ = [
     "only_violations",
     "pack_events",
     "promote_custom_violations",
+    "python_rule",
     "quarantine",
     "quarantine_of",
+    "read_rules",
     "route_events",
     "route_promoted_lists",
     "rule_contains",
+    "rules_of",
 ]

@@ -110,9 +110,8 @@ def stop_at_bad(rows: DataFrame, on_bad: str) -> DataFrame:
 def _raise_unless_bytes(reason: Column) -> Column:
     where = F.concat_ws("/", *[F.col(c).cast("string") for c in COORDINATES])
     message = F.concat(F.lit("bad event list at "), where, F.lit(": "), reason)
-    return F.when(
-        reason.isNotNull() & (reason != BAD_COMPRESSION), F.raise_error(message).cast("string")
-    ).otherwise(reason)
+    text = reason.isin(BAD_JSON, NOT_A_LIST, NOT_AN_OBJECT)
+    return F.when(text, F.raise_error(message).cast("string")).otherwise(reason)
 
 
 def events_of(outcomes: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import VariantType
@@ -136,12 +137,15 @@ def route_events(
     codec: str = "none",
     names: FieldNames = DEFAULT_NAMES,
     max_list_bytes: int | None = None,
+    across: bool = False,
 ) -> DataFrame:
     """One output row per violating event and per quarantined row, told apart by `output`.
 
     Takes `decode_outcomes` with `violations` attached, so both outputs come from one pass. With
     `max_list_bytes` the violating events of an envelope share rows: lists of at most that many
-    bytes, or of one longer event. A list has the position, and so the key, of its first event.
+    bytes, or of one longer event. A list has the position, and so the key, of its first event. If
+    `across` is set lists go on from one envelope to the next, as far as the task has them; what is
+    set aside keeps its place between them.
     """
     bad = F.col("reason").isNotNull()
     rows = event_payloads(outcomes, names).select(
@@ -155,55 +159,82 @@ def route_events(
     if max_list_bytes is None:
         text = F.concat(F.lit("["), "text", F.lit("]"))
         return _routed(rows.withColumn("text", text), codec)
-    return _routed(_listed(rows, max_list_bytes), codec)
+    return _routed(_listed(rows, max_list_bytes, across), codec)
 
 
-def _listed(rows: DataFrame, room: int) -> DataFrame:
-    """Rows whose texts are put into lists where they follow each other in one envelope.
+def _listed(rows: DataFrame, room: int, across: bool) -> DataFrame:
+    """Rows whose texts are put into lists where they follow each other, in one envelope or across.
 
-    The events of an envelope come one after the other from the explode, so no shuffle is needed.
+    The events of an envelope come one after the other from the explode, and those of a task one
+    envelope after the other, so no shuffle is needed. Only texts become Python objects, to be
+    joined; the other columns are taken from the batch row by row number. A row without a text stands
+    for itself and, across envelopes, does not end the list it comes amid: it goes out before it.
     """
     if room < 1:
         raise ValueError("message bounds must be positive")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict | None = None
+        # The list that is being filled: its first row, and the texts.
+        head: pa.RecordBatch | None = None
+        place: tuple | None = None
         texts: list[str] = []
-        size, done, written = 1, [], 0
-
-        def close() -> None:
-            nonlocal held, texts, size, written
-            if held is not None:
-                done.append({**held, "text": "[" + ",".join(texts) + "]"})
-                written += size
-            held, texts, size = None, [], 1
-
+        size = 1
         for batch in batches:
-            for row in batch.to_pylist():
-                text = row["text"]
-                if text is None:
-                    close()
-                    done.append(row)
-                    written += len(row["raw"] or b"")
-                else:
-                    more = len(text.encode()) + 1
-                    same = held is not None and all(held[c] == row[c] for c in COORDINATES)
-                    if not same or size + more > room:
-                        close()
-                        held = row
-                    texts.append(text)
-                    size += more
-                if written >= _BATCH_BYTES:
-                    yield pa.RecordBatch.from_pylist(done, batch.schema)
-                    done, written = [], 0
-            schema = batch.schema
-        close()
-        if done:
-            yield pa.RecordBatch.from_pylist(done, schema)
+            bodies = batch.column("text").to_pylist()
+            sizes = pc.binary_length(batch.column("text").cast(pa.binary())).to_pylist()
+            places = list(zip(*(batch.column(c).to_pylist() for c in COORDINATES)))
+            # Rows to give, in order: what each is made of, and its text.
+            given: list[tuple[int, str | None]] = []
+            begun = -1  # row of this batch at which the list began; -1 if before
+            for i, body in enumerate(bodies):
+                if body is None:
+                    if not across and texts:
+                        given.append((begun, _list_of(texts)))
+                        texts, size, place = [], 1, None
+                    given.append((i, None))
+                    continue
+                more = sizes[i] + 1
+                if texts and (size + more > room or not (across or places[i] == place)):
+                    given.append((begun, _list_of(texts)))
+                    texts, size = [], 1
+                if not texts:
+                    begun, place = i, places[i]
+                texts.append(body)
+                size += more
+            yield from _given(batch, head, given)
+            if texts and begun >= 0:
+                head = batch.slice(begun, 1)
+            elif not texts:
+                head = None
+        if texts:
+            yield from _given(head, head, [(0, _list_of(texts))])
 
     return rows.mapInArrow(join, rows.schema)
 
 
+def _list_of(texts: list[str]) -> str:
+    return "[" + ",".join(texts) + "]"
+
+
+def _given(
+    batch: pa.RecordBatch, head: pa.RecordBatch | None, given: list[tuple[int, str | None]]
+) -> Iterator[pa.RecordBatch]:
+    """Rows of the batch by number, -1 for the head, with new texts; in batches of bounded size."""
+    at = 0
+    while at < len(given):
+        end, size = at, 0
+        while end < len(given) and size < _BATCH_BYTES:
+            size += len(given[end][1] or "")
+            end += 1
+        part = given[at:end]
+        both = pa.Table.from_batches([batch] if head is None else [batch, head])
+        rows = both.take([batch.num_rows if i < 0 else i for i, _ in part])
+        texts = pa.array([t for _, t in part], batch.schema.field("text").type)
+        rows = rows.set_column(rows.schema.get_field_index("text"), batch.schema.field("text"), texts)
+        yield from rows.combine_chunks().to_batches()
+        at = end
+
+
 def route_promoted_lists(
     lists: DataFrame,
     codec: str = "none",

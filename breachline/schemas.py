@@ -40,6 +40,8 @@ BAD_COMPRESSION = "decompress"
 BAD_JSON = "parse"
 NOT_A_LIST = "not_array"
 NOT_AN_OBJECT = "not_object"
+# A rule that raised on an event; the ids of such rules' policies follow after a colon.
+FAILED_RULE = "rule"
 REASONS = (BAD_COMPRESSION, BAD_JSON, NOT_A_LIST, NOT_AN_OBJECT)
 
 # Values of the `output` column that routes a row to its destination.
