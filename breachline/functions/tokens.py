@@ -4,24 +4,28 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def token_hits(text: Column, places: Mapping[str, Sequence[int]]) -> Column:
-    """Sorted places (array<int>) of all literals that a text contains; none where it is null.
+def token_hits(text: Column, tokens: Sequence[tuple[str, int]]) -> Column:
+    """Numbers (array<bigint>) of the literals that a text contains, in their order; null has none.
 
     One pass over the text, whatever the number of literals: they form a trie with failure links
     (Aho-Corasick), which finds overlapping and nested ones alike. Its size is that of the literals.
-    It is built once by each Python worker and kept for later tasks and batches. A literal may have
-    several places; the empty one is in every text.
+    It is built once by each Python worker and kept for later tasks and batches. A literal may occur
+    more than once, with other numbers; the empty one is in every text.
     """
-    everywhere = sorted(places.get("", ()))
-    known = {token: tuple(at) for token, at in places.items() if token}
-    key = f"tokens-{hash(tuple(sorted(known.items()))):x}-{len(known)}"
+    numbers = [n for _, n in tokens]
+    places: dict[str, list[int]] = {}
+    for place, (token, _) in enumerate(tokens):
+        places.setdefault(token, []).append(place)
+    everywhere = places.pop("", [])
+    known = {token: tuple(at) for token, at in places.items()}
+    key = f"tokens-{hash(tuple(known.items())):x}-{len(known)}"
 
     def search(texts: pa.Array) -> pa.Array:
         automaton = _kept(key, known)
@@ -29,16 +33,16 @@ def token_hits(text: Column, places: Mapping[str, Sequence[int]]) -> Column:
         for value in texts:
             body = value.as_py()
             if body is not None:
-                if automaton is None:
-                    found += everywhere
-                else:
-                    hits = {at for _, at in automaton.iter(body)}
-                    found += sorted({p for at in hits for p in at}.union(everywhere))
+                at = set(everywhere)
+                if automaton is not None:
+                    for _, hit in automaton.iter(body):
+                        at.update(hit)
+                found += [numbers[p] for p in sorted(at)]
             ends.append(len(found))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found, pa.int32()))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found, pa.int64()))
 
     # Not deterministic to Spark, so that filter and list share one call.
-    return F.arrow_udf(search, "array<int>").asNondeterministic()(text)
+    return F.arrow_udf(search, "array<bigint>").asNondeterministic()(text)
 
 
 def _kept(key: str, known: dict[str, tuple[int, ...]]):

@@ -159,11 +159,8 @@ def _outcome(rule: Rule, on_error: str) -> Column:
 
 
 def _found(tokens: TokenRules, exempt: Column) -> Column:
-    """Places of the rules that match, in order."""
-    places: dict[str, list[int]] = {}
-    for place, (token, _) in enumerate(tokens.tokens):
-        places.setdefault(token, []).append(place)
-    return token_hits(F.when(~exempt, F.col(tokens.field)), places)
+    """Policies of the rules that match, in order."""
+    return token_hits(F.when(~exempt, F.col(tokens.field)), tokens.tokens)
 
 
 def _violations(rules: Rules, hits: Column, found: list[Column]) -> Column:
@@ -171,6 +168,7 @@ def _violations(rules: Rules, hits: Column, found: list[Column]) -> Column:
     plain = [r for r in rules if isinstance(r, Rule)]
     if len(plain) == len(rules):
         return violation_list([r.policy_id for r in plain], hits)
+    # Lists of plain rules that follow each other, and of each set of literals.
     parts, first, nth, sets = [], 0, 0, iter(found)
     for rule in [*rules, None]:
         if isinstance(rule, Rule):
@@ -181,13 +179,8 @@ def _violations(rules: Rules, hits: Column, found: list[Column]) -> Column:
             parts.append(violation_list(ids, F.slice(hits, first + 1, nth - first)))
             first = nth
         if rule is not None:
-            ids = F.array(*[F.lit(p).cast("bigint") for _, p in rule.tokens]).cast("array<bigint>")
-            parts.append(
-                F.transform(
-                    next(sets),
-                    lambda at, ids=ids: F.struct(F.get(ids, at).alias("policyId")),
-                ).cast(VIOLATION_LIST)
-            )
+            listed = F.transform(next(sets), lambda policy: F.struct(policy.alias("policyId")))
+            parts.append(listed.cast(VIOLATION_LIST))
     return F.concat(*parts)
 
 

@@ -22,7 +22,15 @@ from ..operators.decode import (
     quarantine_of,
 )
 from ..operators.encode import encode_events, pack_events
-from ..operators.rules import Rule, apply_rules, only_violations, rule_contains
+from ..operators.rules import (
+    Rule,
+    TokenRules,
+    apply_rules,
+    only_violations,
+    python_rule,
+    read_rules,
+    rule_contains,
+)
 from ..sinks.violations import FileSink
 from ..sources.envelopes import read_envelopes
 from ..streaming.job import run_detection
@@ -360,6 +368,126 @@ def _stream_restart(spark, sf_dir):
     return spark.read.parquet(target).select("output", F.col("offset").alias("page_id"), reason)
 
 
+def _quarantine_bytes(spark, sf_dir):
+    """Whether what is set aside is what came in: whole envelopes by digest, elements by text."""
+    envelopes = _damaged_pages(spark, sf_dir)
+    outcomes = decode_outcomes(decompress_envelopes(envelopes), PAGE)
+    came = envelopes.select("offset", F.sha2("value", 256).alias("came"))
+    kept = quarantine_of(outcomes).join(came, "offset")
+    whole = F.col("pos").isNull()
+    return kept.select(
+        F.col("offset").alias("page_id"),
+        F.coalesce("pos", F.lit(-1)).alias("pos"),
+        F.when(whole, F.sha2("value", 256) == F.col("came")).alias("same"),
+        F.when(~whole, F.col("value").cast("string")).alias("element"),
+    )
+
+
+def _failing(envelopes: DataFrame) -> DataFrame:
+    """Rules of which one raises on every seventh event, and another on every eleventh."""
+    rules = [
+        Rule(7001, F.col("code").cast("int") > 50),
+        python_rule(lambda n: 100 // (n % 11) > 20, ["event_id"], 7002),
+        rule_contains("event_type", "err", 7003),
+        Rule(7004, F.col("code").cast("int") % 10 == 0),
+    ]
+    fields = EVENT + ", code string"
+    return route_detect(envelopes, rules, fields=fields, out_codec="none", on_rule_error="quarantine")
+
+
+def _coded_events(spark, sf_dir):
+    code = F.when(F.col("event_id") % 7 == 3, F.lit("n/a")).otherwise(F.col("user_id").cast("string"))
+    return pack_table(_table(spark, sf_dir, "events").withColumn("code", code), "gzip", 100)
+
+
+def _judged(routed: DataFrame) -> DataFrame:
+    """Event, policies and reason of every output row."""
+    text = F.col("value").cast("string")
+    event = F.when(F.col("output") == "violations", F.get_json_object(text, "$[0]")).otherwise(text)
+    found = F.from_json(F.get_json_object(event, "$.violations"), "array<struct<policyId:bigint>>")
+    policies = F.array_join(F.transform(found, lambda v: v["policyId"].cast("string")), ",")
+    return routed.select(
+        "output",
+        F.get_json_object(event, "$.event_id").cast("bigint").alias("event_id"),
+        F.coalesce(policies, F.lit("")).alias("policies"),
+        F.coalesce("reason", F.lit("")).alias("reason"),
+    )
+
+
+def _detect_failing_rule(spark, sf_dir):
+    return _judged(_failing(_coded_events(spark, sf_dir)))
+
+
+def _stream_failing_rule(spark, sf_dir):
+    return _judged(spark.read.parquet(_streamed(spark, _coded_events(spark, sf_dir), _failing)))
+
+
+_LETTERS = "acdehilmnoprt"
+
+
+def _detect_token_rules(spark, sf_dir):
+    """A rule for each of 2,197 syllables, between two plain ones."""
+    syllables = [a + b + c for a in _LETTERS for b in _LETTERS for c in _LETTERS]
+    rules = [
+        rule_contains("requesturl", "example.com", 1),
+        TokenRules("requesturl", [(t, 10_000 + n) for n, t in enumerate(syllables)]),
+        rule_contains("requesturl", "/en/", 2),
+    ]
+    flagged = detect(pack_table(_pages(spark, sf_dir), "gzip"), rules, fields=PAGE)
+    return flagged.select("page_id", F.posexplode("violations").alias("nth", "violation")).select(
+        "page_id", "nth", F.col("violation.policyId").alias("policy_id")
+    )
+
+
+def _stream_rule_table(spark, sf_dir):
+    """Half of the pages under one rule, the rest under two more, added while the stream runs."""
+    odd = F.col("page_id") % 2 == 1
+    source, table, target = (scratch(spark, n) for n in ("halves", "rules", "violations"))
+
+    def half(which: Column) -> None:
+        pages = _pages(spark, sf_dir).where(which)
+        pack_table(pages, "gzip").write.mode("append").parquet(source)
+
+    def add(*rules: tuple) -> None:
+        schema = "policy_id bigint, field string, token string, expression string"
+        spark.createDataFrame(rules, schema).write.mode("append").parquet(table)
+
+    half(~odd)
+    add((101, "requesturl", "example.com", None))
+    query = run_detection(
+        read_envelopes(spark, path=source, streaming=True),
+        FileSink(target),
+        scratch(spark, "progress"),
+        route=lambda batch: route_detect(batch, read_rules(batch.sparkSession, table), fields=PAGE),
+    )
+    try:
+        query.processAllAvailable()
+        add((102, "requesturl", "utm_source", None), (103, None, None, "length(requesturl) > 50"))
+        half(odd)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    fields = PAGE + ", violations array<struct<policyId:bigint>>"
+    return _flat(_reread(spark.read.parquet(target), fields, "gzip"), "page_id", "requesturl")
+
+
+def _across(envelopes: DataFrame) -> DataFrame:
+    rules = [rule_contains("event_type", "err", POLICY), rule_contains("event_type", "view", 17)]
+    return route_detect(envelopes, rules, fields=EVENT, form="partitions", max_message_bytes=20_000)
+
+
+def _detect_partition_lists(spark, sf_dir):
+    routed = _across(pack_table(_table(spark, sf_dir, "events"), "gzip", 10))
+    published = routed.where(F.col("output") == "violations")
+    return _flat(_reread(published, PUBLISHED, "gzip"), *WHOLE, _seconds())
+
+
+def _stream_partition_lists(spark, sf_dir):
+    target = _streamed(spark, pack_table(_table(spark, sf_dir, "events"), "gzip", 10), _across)
+    published = spark.read.parquet(target).where(F.col("output") == "violations")
+    return _flat(_reread(published, PUBLISHED, "gzip"), *WHOLE, _seconds())
+
+
 QUERIES: dict[str, Query] = {
     "decode_none": _decode("none"),
     "decode_gzip": _decode("gzip"),
@@ -389,6 +517,13 @@ QUERIES: dict[str, Query] = {
     "detect_lists": _detect_lists,
     "stream_detect_lists": _stream_detect_lists,
     "stream_restart": _stream_restart,
+    "quarantine_bytes": _quarantine_bytes,
+    "detect_failing_rule": _detect_failing_rule,
+    "stream_failing_rule": _stream_failing_rule,
+    "detect_token_rules": _detect_token_rules,
+    "stream_rule_table": _stream_rule_table,
+    "detect_partition_lists": _detect_partition_lists,
+    "stream_partition_lists": _stream_partition_lists,
 }
 
 _DECODE_SQL = "SELECT page_id, url, md5(html) AS html_md5 FROM pages"
@@ -427,6 +562,22 @@ UNION ALL SELECT page_id, 2, 'not_object' FROM pages WHERE page_id % 7 = 4"""
 
 _FLAGGED_SQL = "FROM pages WHERE page_id % 7 >= 4 AND contains(url, 'example')"
 
+_FAILING_SQL = """
+WITH judged AS (
+    SELECT event_id, event_id % 7 = 3 AS f1, event_id % 11 = 0 AS f2, user_id > 50 AS m1,
+           event_id % 11 BETWEEN 1 AND 4 AS m2, contains(event_type, 'err') AS m3, user_id % 10 = 0 AS m4
+    FROM events
+)
+SELECT 'quarantine' AS output, event_id, '' AS policies,
+       'rule:' || concat_ws(',', CASE WHEN f1 THEN '7001' END, CASE WHEN f2 THEN '7002' END,
+                            CASE WHEN f1 THEN '7004' END) AS reason
+FROM judged WHERE f1 OR f2
+UNION ALL
+SELECT 'violations', event_id,
+       concat_ws(',', CASE WHEN m1 THEN '7001' END, CASE WHEN m2 THEN '7002' END,
+                 CASE WHEN m3 THEN '7003' END, CASE WHEN m4 THEN '7004' END), ''
+FROM judged WHERE NOT f1 AND NOT f2 AND (m1 OR m2 OR m3 OR m4)"""
+
 ORACLE_SQL: dict[str, str] = {
     "decode_none": _DECODE_SQL,
     "decode_gzip": _DECODE_SQL,
@@ -492,4 +643,32 @@ WHERE contains(event_type, kind)""",
     "stream_restart": f"""
 SELECT 'violations' AS output, page_id, '' AS reason {_FLAGGED_SQL}
 UNION ALL SELECT 'quarantine', page_id, reason FROM ({_DAMAGE_SQL})""",
+    "quarantine_bytes": """
+SELECT page_id, -1 AS pos, true AS same, NULL::VARCHAR AS element FROM pages WHERE page_id % 7 < 4
+UNION ALL SELECT page_id, 1, NULL, '7' FROM pages WHERE page_id % 7 = 4
+UNION ALL SELECT page_id, 2, NULL, '"text"' FROM pages WHERE page_id % 7 = 4""",
+    "detect_failing_rule": _FAILING_SQL,
+    "stream_failing_rule": _FAILING_SQL,
+    "detect_token_rules": f"""
+WITH letters AS (
+    SELECT unnest(string_split('{_LETTERS}', '')) AS x, generate_subscripts(string_split('{_LETTERS}', ''), 1) - 1 AS i
+), rules AS (
+    SELECT a.x || b.x || c.x AS token, 10000 + 169 * a.i + 13 * b.i + c.i AS policy_id,
+           1 + 169 * a.i + 13 * b.i + c.i AS place
+    FROM letters a, letters b, letters c
+    UNION ALL SELECT 'example.com', 1, 0
+    UNION ALL SELECT '/en/', 2, 9999
+)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY place) - 1 AS INTEGER) AS nth,
+       CAST(policy_id AS BIGINT) AS policy_id
+FROM pages JOIN rules ON contains(url, token)""",
+    "stream_rule_table": """
+SELECT page_id, url AS requesturl, CAST(101 AS BIGINT) AS policy_id
+FROM pages WHERE contains(url, 'example.com')
+UNION ALL
+SELECT page_id, url, CAST(102 AS BIGINT) FROM pages WHERE page_id % 2 = 1 AND contains(url, 'utm_source')
+UNION ALL
+SELECT page_id, url, CAST(103 AS BIGINT) FROM pages WHERE page_id % 2 = 1 AND length(url) > 50""",
+    "detect_partition_lists": _LISTED_SQL,
+    "stream_partition_lists": _LISTED_SQL,
 }

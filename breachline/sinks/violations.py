@@ -99,18 +99,25 @@ def write_violations(
     return None
 
 
-def write_batch(rows: DataFrame, sink: Sink, batch_id: int, rebalance: bool = False) -> None:
-    """Write one batch of a stream, inside its batch function."""
+def write_batch(
+    rows: DataFrame, sink: Sink, batch_id: int, rebalance: bool = False, output: str | None = None
+) -> None:
+    """Write one batch of a stream, inside its batch function; of the rows of one `output`, if named.
+
+    What an earlier attempt at the batch left is deleted first, so outputs for which there are no rows
+    any more, as rules have changed meanwhile, keep none. Another output's folder is left alone.
+    """
     if isinstance(sink, KafkaSink):
         write_violations(rows, sink)
         return
-    query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    spark = rows.sparkSession
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    folder = f"{sink.path}/query={query}/batch={batch_id}"
+    earlier = spark._jvm.org.apache.hadoop.fs.Path(folder if output is None else f"{folder}/output={output}")
+    earlier.getFileSystem(spark._jsc.hadoopConfiguration()).delete(earlier, True)
     if rebalance:
         rows = rows.hint("rebalance")
-    # Of this batch's folders only those of the outputs at hand are replaced.
-    writer = rows.write.format(sink.file_format).partitionBy("output").mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.save(f"{sink.path}/query={query}/batch={batch_id}")
+    rows.write.format(sink.file_format).partitionBy("output").mode("append").save(folder)
 
 
 def refuse_logged_folder(spark: SparkSession, sink: Sink) -> None:

@@ -23,6 +23,7 @@ def run_detection(
     on_batch: Callable[[DataFrame, int], None] | None = None,
     name: str | None = None,
     rebalance: bool = False,
+    route: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Start the job on a routed stream and return its query; call `awaitTermination()` to wait.
 
@@ -35,16 +36,20 @@ def run_detection(
     each batch has several readers, so its output rows are kept until all have run. Files lie alike
     in either form, so a sink or hook may be added on restart. `rebalance` evens out the files of
     each batch.
+
+    With `route`, `routed` is the stream of envelopes, and each batch is routed by what the function
+    makes of it when its turn comes. So rules that it reads, as with `read_rules`, hold from the next
+    batch on when they change, and no restart is needed.
     """
     if interval is not None and available_now:
         raise ValueError("give either an interval or available_now")
-    if quarantine_sink is None and on_batch is None:
+    if quarantine_sink is None and on_batch is None and route is None:
         writer = write_violations(routed, sink, rebalance=rebalance)
     else:
         for target in filter(None, (sink, quarantine_sink)):
             refuse_logged_folder(routed.sparkSession, target)
         writer = routed.writeStream.foreachBatch(
-            _batch_writer(sink, quarantine_sink, on_batch, rebalance)
+            _batch_writer(sink, quarantine_sink, on_batch, rebalance, route)
         )
     writer = writer.option("checkpointLocation", checkpoint)
     if name is not None:
@@ -56,16 +61,21 @@ def run_detection(
     return writer.start()
 
 
-def _batch_writer(sink, quarantine_sink, on_batch, rebalance):
+def _batch_writer(sink, quarantine_sink, on_batch, rebalance, route):
     def write(batch: DataFrame, batch_id: int) -> None:
+        if route is not None:
+            batch = route(batch)
+        if quarantine_sink is None and on_batch is None:
+            write_batch(batch, sink, batch_id, rebalance)
+            return
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if quarantine_sink is None:
                 write_batch(kept, sink, batch_id, rebalance)
             else:
                 good, bad = (kept.where(F.col("output") == o) for o in (VIOLATIONS, QUARANTINE))
-                write_batch(good, sink, batch_id, rebalance)
-                write_batch(bad, quarantine_sink.for_quarantine(), batch_id, rebalance)
+                write_batch(good, sink, batch_id, rebalance, VIOLATIONS)
+                write_batch(bad, quarantine_sink.for_quarantine(), batch_id, rebalance, QUARANTINE)
             if on_batch is not None:
                 on_batch(kept, batch_id)
         finally:
