@@ -12,6 +12,7 @@ from .operators import (
     decode_lists,
     decode_outcomes,
     decompress_envelopes,
+    drop_repeats,
     encode_events,
     events_of,
     only_violations,
@@ -27,8 +28,19 @@ from .operators import (
 from .plans import detect, promote, route_detect, route_promote
 from .schemas import ENVELOPE, FieldNames
 from .sinks import FileSink, KafkaSink, write_violations
-from .sources import kafka_source_options, max_offsets_per_trigger, read_envelopes
-from .streaming import run_detection
+from .sources import (
+    PositionStore,
+    between,
+    capped_batches,
+    collect_positions,
+    first_positions,
+    kafka_source_options,
+    max_offsets_per_trigger,
+    next_positions,
+    positions_of,
+    read_envelopes,
+)
+from .streaming import ask_to_stop, await_stop, run_detection
 
 # The functions that run in Python workers travel with the job, so executors need no installation.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -38,20 +50,30 @@ __all__ = [
     "FieldNames",
     "FileSink",
     "KafkaSink",
+    "PositionStore",
     "Rule",
     "TokenRules",
     "apply_rules",
+    "ask_to_stop",
+    "await_stop",
+    "between",
+    "capped_batches",
+    "collect_positions",
     "decode_events",
     "decode_lists",
     "decode_outcomes",
     "decompress_envelopes",
     "detect",
+    "drop_repeats",
     "encode_events",
     "events_of",
+    "first_positions",
     "kafka_source_options",
     "max_offsets_per_trigger",
+    "next_positions",
     "only_violations",
     "pack_events",
+    "positions_of",
     "promote",
     "promote_custom_violations",
     "python_rule",

@@ -11,6 +11,7 @@ from .decode import (
 )
 from .encode import encode_events, pack_events, route_events, route_promoted_lists
 from .promote import promote_custom_violations
+from .repeats import drop_repeats
 from .rules import (
     Rule,
     TokenRules,
@@ -30,6 +31,7 @@ __all__ = [
     "decode_lists",
     "decode_outcomes",
     "decompress_envelopes",
+    "drop_repeats",
     "encode_events",
     "events_of",
     "only_violations",

@@ -31,8 +31,17 @@ from ..operators.rules import (
     read_rules,
     rule_contains,
 )
-from ..sinks.violations import FileSink
+from ..operators.repeats import drop_repeats
+from ..sinks.violations import FileSink, write_violations
 from ..sources.envelopes import read_envelopes
+from ..sources.positions import (
+    PositionStore,
+    between,
+    capped_batches,
+    collect_positions,
+    first_positions,
+    next_positions,
+)
 from ..streaming.job import run_detection
 from .jobs import detect, promote, route_detect, route_promote
 from .replay import as_envelopes, event_json, pack_table, scratch
@@ -488,6 +497,73 @@ def _stream_partition_lists(spark, sf_dir):
     return _flat(_reread(published, PUBLISHED, "gzip"), *WHOLE, _seconds())
 
 
+def _url_rules(batch: DataFrame) -> DataFrame:
+    return route_detect(batch, [rule_contains("requesturl", "example.com", POLICY)], fields=PAGE)
+
+
+def _published_urls(published: DataFrame) -> DataFrame:
+    fields = PAGE + ", violations array<struct<policyId:bigint>>"
+    published = published.where(F.col("output") == "violations")
+    return _flat(_reread(published, fields, "gzip"), "page_id", "requesturl")
+
+
+def _stream_positions(spark, sf_dir):
+    """A job over the first envelopes of each partition, and another that goes on from its positions."""
+    stored = _stored(spark, pack_table(_pages(spark, sf_dir), "gzip", 4))
+    store = scratch(spark, "positions")
+    early = scratch(spark, "early")
+    first = spark.read.parquet(stored).where(F.col("offset") % (1 << 33) < 20)
+    first.write.parquet(early)
+    outputs = []
+    for source in (early, stored):
+        stream = read_envelopes(spark, path=source, streaming=True)
+        outputs.append(scratch(spark, "violations"))
+        run_detection(
+            between(stream, PositionStore(spark, store).load()),
+            FileSink(outputs[-1]),
+            scratch(spark, "progress"),
+            available_now=True,
+            route=_url_rules,
+            positions=store,
+        ).awaitTermination()
+    both = [spark.read.parquet(o).select("output", "value") for o in outputs]
+    return _published_urls(both[0].union(both[1]))
+
+
+def _detect_capped(spark, sf_dir):
+    """Batches that take a stated number of envelopes of each partition, until all are read."""
+    stored = _stored(spark, pack_table(_pages(spark, sf_dir), "gzip", 4))
+    envelopes, target = read_envelopes(spark, path=stored), scratch(spark, "violations")
+    start = collect_positions(first_positions(envelopes))
+    latest = collect_positions(next_positions(envelopes))
+    for begin, end in capped_batches(start, latest, per_second=5, seconds=5):
+        write_violations(_url_rules(between(envelopes, begin, end)), FileSink(target))
+    return _published_urls(spark.read.parquet(target))
+
+
+def _stream_drop_repeats(spark, sf_dir):
+    """Messages published twice, by a job and by its replay, read as a stream that drops repeats."""
+    envelopes = _stored(spark, pack_table(_table(spark, sf_dir, "events"), "gzip", 100))
+    target, once = scratch(spark, "published"), scratch(spark, "once")
+    rules = [rule_contains("event_type", "err", POLICY)]
+    for _ in range(2):
+        stream = read_envelopes(spark, path=envelopes, streaming=True)
+        run_detection(
+            route_detect(stream, rules, fields=EVENT),
+            FileSink(target),
+            scratch(spark, "progress"),
+            available_now=True,
+        ).awaitTermination()
+    published = (
+        spark.readStream.schema("key binary, value binary")
+        .parquet(f"{target}/query=*/batch=*/output=violations")
+        .withColumn("timestamp", F.lit("2026-01-01").cast("timestamp"))
+    )
+    writer = drop_repeats(published).writeStream.trigger(availableNow=True)
+    writer.option("checkpointLocation", scratch(spark, "progress")).start(once).awaitTermination()
+    return _flat(_reread(spark.read.parquet(once), PUBLISHED, "gzip"), *WHOLE, _seconds())
+
+
 QUERIES: dict[str, Query] = {
     "decode_none": _decode("none"),
     "decode_gzip": _decode("gzip"),
@@ -524,6 +600,9 @@ QUERIES: dict[str, Query] = {
     "stream_rule_table": _stream_rule_table,
     "detect_partition_lists": _detect_partition_lists,
     "stream_partition_lists": _stream_partition_lists,
+    "stream_positions": _stream_positions,
+    "detect_capped": _detect_capped,
+    "stream_drop_repeats": _stream_drop_repeats,
 }
 
 _DECODE_SQL = "SELECT page_id, url, md5(html) AS html_md5 FROM pages"
@@ -671,4 +750,7 @@ UNION ALL
 SELECT page_id, url, CAST(103 AS BIGINT) FROM pages WHERE page_id % 2 = 1 AND length(url) > 50""",
     "detect_partition_lists": _LISTED_SQL,
     "stream_partition_lists": _LISTED_SQL,
+    "stream_positions": _DETECT_URL_SQL,
+    "detect_capped": _DETECT_URL_SQL,
+    "stream_drop_repeats": _PUBLISHED_SQL,
 }

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import ENVELOPE
+from .positions import Positions, positions_json
 
 # Start positions under the names of older consumers and of Spark.
 _STARTS = {"smallest": "earliest", "largest": "latest", "earliest": "earliest", "latest": "latest"}
@@ -15,7 +16,7 @@ _STARTS = {"smallest": "earliest", "largest": "latest", "earliest": "earliest",
 def kafka_source_options(
     brokers: str,
     topic: str,
-    start: str | None = None,
+    start: str | Positions | None = None,
     group_id: str | None = None,
     max_message_bytes: int | None = None,
     max_offsets_per_trigger: int | None = None,
@@ -23,25 +24,36 @@ def kafka_source_options(
     max_records_per_partition: int | None = None,
     tls: Mapping[str, str] | None = None,
     streaming: bool = True,
+    end: Positions | None = None,
 ) -> dict[str, str]:
     """Options of Spark's Kafka source.
 
     `topic` names one topic, or several separated by commas. `start` is where a query without a
     checkpoint begins (`smallest`/`earliest` or `largest`/`latest`); with a checkpoint the stored
-    position wins. Spark reads a Kafka partition in one task unless `min_partitions` or
+    position wins. It may also be positions, offsets by topic and partition, of just the topics
+    named. Spark reads a Kafka partition in one task unless `min_partitions` or
     `max_records_per_partition` splits it by offset range, which a topic with one hot partition
-    needs. `tls` holds consumer properties such as `security.protocol`.
+    needs. `tls` holds consumer properties such as `security.protocol`. A batch may
+    have an `end`; `capped_batches` gives starts and ends at a rate per partition.
     """
     names = [name.strip() for name in topic.split(",")]
     if not brokers or not all(names):
         raise ValueError("brokers and topic must not be empty")
     options = {"kafka.bootstrap.servers": brokers, "subscribe": ",".join(names)}
-    if start is not None:
+    if isinstance(start, Mapping):
+        if set(start) != set(names):
+            raise ValueError(f"positions are for {', '.join(sorted(start))}, not for {topic}")
+        options["startingOffsets"] = positions_json(start)
+    elif start is not None:
         if start.lower() not in _STARTS:
             raise ValueError(f"unknown start {start!r}; expected one of {', '.join(_STARTS)}")
         options["startingOffsets"] = _STARTS[start.lower()]
         if not streaming and options["startingOffsets"] == "latest":
             raise ValueError("a batch cannot start at the latest offset")
+    if end is not None:
+        if streaming or set(end) != set(names):
+            raise ValueError("only a batch ends, and at positions of just the topics named")
+        options["endingOffsets"] = positions_json(end)
     if group_id:
         options["kafka.group.id"] = group_id
     if max_message_bytes is not None and max_message_bytes > 0:

@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import QUARANTINE, VIOLATIONS
 from ..sinks.violations import Sink, refuse_logged_folder, write_batch, write_violations
+from ..sources.positions import PositionStore, next_positions
+from .stop import unless_asked
 
 
 def run_detection(
@@ -24,6 +26,8 @@ def run_detection(
     name: str | None = None,
     rebalance: bool = False,
     route: Callable[[DataFrame], DataFrame] | None = None,
+    positions: str | None = None,
+    stop_marker: str | None = None,
 ) -> StreamingQuery:
     """Start the job on a routed stream and return its query; call `awaitTermination()` to wait.
 
@@ -39,18 +43,26 @@ def run_detection(
 
     With `route`, `routed` is the stream of envelopes, and each batch is routed by what the function
     makes of it when its turn comes. So rules that it reads, as with `read_rules`, hold from the next
-    batch on when they change, and no restart is needed.
+    batch on when they change, and no restart is needed. With `positions` as well, a folder, the
+    position after each batch is kept there when it is written; see `PositionStore`.
+
+    `stop_marker` names a file. While it exists no batch begins: the one in progress is written and
+    committed, and the query ends. `await_stop` waits for that.
     """
+    if positions is not None and route is None:
+        raise ValueError("positions are read from envelopes, so they need a route")
     if interval is not None and available_now:
         raise ValueError("give either an interval or available_now")
-    if quarantine_sink is None and on_batch is None and route is None:
+    plain = quarantine_sink is None and on_batch is None and route is None
+    if plain and stop_marker is None:
         writer = write_violations(routed, sink, rebalance=rebalance)
     else:
         for target in filter(None, (sink, quarantine_sink)):
             refuse_logged_folder(routed.sparkSession, target)
-        writer = routed.writeStream.foreachBatch(
-            _batch_writer(sink, quarantine_sink, on_batch, rebalance, route)
-        )
+        write = _batch_writer(sink, quarantine_sink, on_batch, rebalance, route, positions)
+        if stop_marker is not None:
+            write = unless_asked(write, stop_marker)
+        writer = routed.writeStream.foreachBatch(write)
     writer = writer.option("checkpointLocation", checkpoint)
     if name is not None:
         writer = writer.queryName(name)
@@ -61,10 +73,13 @@ def run_detection(
     return writer.start()
 
 
-def _batch_writer(sink, quarantine_sink, on_batch, rebalance, route):
+def _batch_writer(sink, quarantine_sink, on_batch, rebalance, route, positions):
     def write(batch: DataFrame, batch_id: int) -> None:
-        if route is not None:
-            batch = route(batch)
+        publish(batch if route is None else route(batch), batch_id)
+        if positions is not None:
+            PositionStore(batch.sparkSession, positions).save(next_positions(batch))
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
         if quarantine_sink is None and on_batch is None:
             write_batch(batch, sink, batch_id, rebalance)
             return
