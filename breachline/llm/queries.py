@@ -173,34 +173,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": r"""
-WITH split AS (
+WITH RECURSIVE split AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
            generate_subscripts(string_split(text, chr(10)), 1) AS pos
     FROM documents WHERE text IS NOT NULL
 ), ranked AS (
-    SELECT doc_id, pos, line, md5(line) AS r,
+    SELECT doc_id, pos, line, md5(line) AS h,
            len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w
     FROM split
-), k0 AS (SELECT *, r AS r0, w AS w0 FROM ranked),
-k1 AS (SELECT *, md5(r0 || lead(r0, 1) OVER d) AS r1, w0 + lead(w0, 1) OVER d AS w1
-       FROM k0 WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
-k2 AS (SELECT *, md5(r1 || lead(r1, 2) OVER d) AS r2, w1 + lead(w1, 2) OVER d AS w2
-       FROM k1 WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
-k3 AS (SELECT *, md5(r2 || lead(r2, 4) OVER d) AS r3, w2 + lead(w2, 4) OVER d AS w3
-       FROM k2 WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
-found AS (
-    SELECT doc_id, pos, line,
-           w0 >= 8 AND row_number() OVER (PARTITION BY r0 ORDER BY doc_id, pos) > 1 AS h0,
-           w1 >= 8 AND row_number() OVER (PARTITION BY r1 ORDER BY doc_id, pos) > 1 AS h1,
-           w2 >= 8 AND row_number() OVER (PARTITION BY r2 ORDER BY doc_id, pos) > 1 AS h2,
-           w3 >= 8 AND row_number() OVER (PARTITION BY r3 ORDER BY doc_id, pos) > 1 AS h3
-    FROM k3
+), win AS (  -- every start and length that occurs more than once, a line longer each time
+    SELECT doc_id, pos AS s, 1 AS n, h AS key, w FROM ranked
+    UNION ALL
+    SELECT x.doc_id, s, n + 1, md5(key || h), x.w + r.w
+    FROM (SELECT *, count(*) OVER (PARTITION BY key) AS c FROM win) x
+        JOIN ranked r ON r.doc_id = x.doc_id AND r.pos = s + n
+    WHERE c > 1
+), later AS (
+    SELECT doc_id, s, max(s + n) AS e
+    FROM (SELECT *, row_number() OVER (PARTITION BY n, key ORDER BY doc_id, s) AS nth FROM win)
+    WHERE nth > 1 AND w >= 8 GROUP BY doc_id, s
 ), marked AS (
-    SELECT doc_id, pos, line, coalesce(bool_or(h0) OVER (d ROWS CURRENT ROW), false)
-        OR coalesce(bool_or(h1) OVER (d ROWS 1 PRECEDING), false)
-        OR coalesce(bool_or(h2) OVER (d ROWS 3 PRECEDING), false)
-        OR coalesce(bool_or(h3) OVER (d ROWS 7 PRECEDING), false) AS gone
-    FROM found WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
+    SELECT r.doc_id, pos, line, coalesce(max(e) OVER (PARTITION BY r.doc_id ORDER BY pos), 0) > pos AS gone
+    FROM ranked r LEFT JOIN later l ON l.doc_id = r.doc_id AND l.s = r.pos
 ), edged AS (
     SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS begins
     FROM marked

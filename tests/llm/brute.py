@@ -62,20 +62,28 @@ def repeats(rows, length):
     return out
 
 
-def lines(rows, min_words=8, doublings=3):
-    """The texts without later copies; rows are (doc_id, text) with distinct ids or equal rows."""
+def lines(rows, min_words=8):
+    """The texts without later copies, by every start and length; rows are (doc_id, text).
+
+    Ids are distinct, or their rows equal.
+    """
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
     split = [None if t is None else t.split("\n") for _, t in rows]
+    words = [[len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in s or ()] for s in split]
     gone = [set() for _ in rows]
-    for k in range(doublings + 1):
-        seen = set()
-        for i in order:
-            for at in range(len(split[i] or ()) - (1 << k) + 1):
-                run = tuple(split[i][at : at + (1 << k)])
-                words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in run)
-                if run in seen and words >= min_words:
-                    gone[i].update(range(at, at + (1 << k)))
-                seen.add(run)
+    starts = [(i, at) for i in order for at in range(len(split[i] or ()))]
+    for n in range(1, max((len(s or ()) for s in split), default=0) + 1):
+        seen = Counter()
+        for i, at in starts:
+            if at + n <= len(split[i]):
+                run = tuple(split[i][at : at + n])
+                if run in seen and sum(words[i][at : at + n]) >= min_words:
+                    gone[i].update(range(at, at + n))
+                seen[run] += 1
+        # What occurs once does not occur again when it is longer.
+        starts = [
+            (i, at) for i, at in starts if at + n <= len(split[i]) and seen[tuple(split[i][at : at + n])] > 1
+        ]
     return [
         None if s is None else "\n".join(x for j, x in enumerate(s) if j not in g)
         for s, g in zip(split, gone)

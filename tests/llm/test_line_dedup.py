@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,13 +34,46 @@ def frame(spark, rows=ROWS):
     return spark.createDataFrame(rows, "doc_id long, text string")
 
 
-@pytest.mark.parametrize("min_words,doublings", [(8, 3), (1, 0), (3, 1), (20, 4)])
-def test_equals_brute_force(spark, min_words, doublings):
-    got = dedup_lines(frame(spark), min_words, doublings).select("doc_id", "text").collect()
-    want = zip([d for d, _ in ROWS], brute.lines(ROWS, min_words, doublings))
+@pytest.mark.parametrize("min_words", [8, 1, 20])
+def test_equals_brute_force(spark, min_words):
+    got = dedup_lines(frame(spark), min_words).select("doc_id", "text").collect()
+    want = zip([d for d, _ in ROWS], brute.lines(ROWS, min_words))
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_brute_force_on_few_kinds_of_lines(spark, seed):
+    # Few kinds and short lines: runs of all lengths, of which most are settled by none of the powers.
+    rng = random.Random(seed)
+    kinds = ["", "a", "b b", "c", "d d d"][: 3 + seed]
+    passage = [rng.choice(kinds) for _ in range(23)]
+    rows = []
+    for i in range(30):
+        lines = [rng.choice(kinds) for _ in range(rng.randrange(1, 25))]
+        if i % 3 == 0:
+            first = rng.randrange(20)
+            lines[5:5] = passage[first : first + rng.randrange(1, 23)]
+        rows.append((i, "\n".join(lines)))
+    got = dedup_lines(frame(spark, rows).repartition(3)).collect()
+    want = brute.lines(rows)
+    assert {r["doc_id"]: r["text"] for r in got} == {d: t for (d, _), t in zip(rows, want)}
+
+
+def test_sparse_runs_go_whole(spark):
+    three = "one two three\nfour five six\nseven eight nine"
+    sparse = "\n".join(f"word{i}\n" for i in range(50))
+    rows = [(1, f"a\n{three}\nb"), (2, f"c\n{three}\nd"), (3, f"e\n{sparse}\nf"), (4, f"g\n{sparse}\nh")]
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(frame(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: "c\nd", 3: rows[2][1], 4: "g\nh"}
+
+
+def test_runs_that_adjoin_are_not_one(spark):
+    # Both halves occur earlier, but apart, and neither has eight words.
+    rows = [(1, "a a a a\nx"), (2, "b b b b b\ny"), (3, "z\na a a a\nb b b b b\nz z")]
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(frame(spark, rows)).collect()}
+    assert got == dict(rows)
+
+
 def test_equal_rows_lose_all_but_one(spark):
     got = [r["text"] for r in dedup_lines(frame(spark, [(1, LONG)] * 3)).collect()]
     assert sorted(got) == ["", "", LONG]
