@@ -71,6 +71,7 @@ def jobs(spark):
     bad = packed.withColumn("value", value.when(damage == 2, gzip_text("{}")).otherwise(F.col("value")))
     rules = [bl.rule_contains("event_type", "err", 9999)]
     many = [bl.rule_contains("event_type", f"absent{i}", i) for i in range(50)] + rules
+    tokens = [bl.TokenRules("event_type", [(f"absent{i}", i) for i in range(1999)] + [("err", 9999)])]
     text_rules = [bl.rule_contains("text", "License", 1)]
 
     def decode(codec):
@@ -87,6 +88,12 @@ def jobs(spark):
         "decode_snappy": lambda: run(decode("snappy")),
         "detect": lambda: run(bl.detect(packed, rules, fields=EVENT)),
         "detect_51_rules": lambda: run(bl.detect(packed, many, fields=EVENT)),
+        "detect_2000_tokens": lambda: run(bl.detect(packed, tokens, fields=EVENT)),
+        "detect_2000_tokens_tenfold": lambda: run(bl.detect(ten, tokens, fields=EVENT)),
+        "detect_guarded": lambda: run(
+            bl.route_detect(packed, rules, fields=EVENT, on_rule_error="quarantine")
+        ),
+        "detect_partitions": lambda: run(bl.route_detect(packed, rules, fields=EVENT, form="partitions")),
         "detect_text": lambda: run(bl.detect(texts, text_rules, fields="text string")),
         "detect_publish": lambda: write(bl.route_detect(packed, rules, fields=EVENT, out_codec="none")),
         "promote": lambda: run(bl.promote(packed)),
