@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -10,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import hide, kept_by_worker, stage
+
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _MAP_BITS = 24
 #: Characters of a text that are searched at a time, to bound memory.
@@ -168,38 +171,83 @@ def find_leaks(
     and columns stay; a column named `leaks` is replaced. Rows stay where they are, so long texts
     and repeated rows need no care; texts are searched in overlapping slices.
 
-    The benchmark is a stated query set: it is cut by hash into blocks of about `block_chars`
-    characters, of which each is broadcast, and each document is searched for every block.
+    The benchmark is a stated query set: its different items are packed into blocks of at most
+    `block_chars` characters (a single longer item, or few whose hashes meet, may exceed it). One
+    block at a time goes through the driver, is broadcast and searched for; a worker keeps one
+    block's index. With several blocks, each pass stages what it found under the digest of the text,
+    and the passes are joined to the documents last, by broadcast while what was found is small.
     """
-    spark = documents.sparkSession
     if budget.q & (budget.q - 1) or budget.q < 2:
         raise ValueError("q must be a power of two")
-    usable = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
-    usable = usable.select("item_id", "text")
-    total = usable.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-total // block_chars)
     kind = benchmark.schema["item_id"].dataType.simpleString()
     result = f"array<struct<item_id:{kind},edits:int>>"
-    columns = []
-    for i in range(n):
-        block = usable.where(F.pmod(F.xxhash64("text"), F.lit(n)) == i)
-        items = spark.sparkContext.broadcast([tuple(r) for r in block.collect()])
-        columns.append(_search(items, budget, result)(F.col("text")))
-    kept = [c for c in documents.columns if c != "leaks"]
-    leaks = F.array_sort(F.concat(*columns)) if columns else F.array().cast(result)
-    return documents.select(*kept, leaks.alias("leaks"))
-
+    nothing, text = F.array().cast(result), F.col("text")
+    carried, restored = hide(documents, ("text",), ("leaks",))
+    blocks = _blocks(benchmark, block_chars)
+    if len(blocks) < 2:
+        leaks = _search(blocks[0], budget, result)(text) if blocks else nothing
+        found = documents.select(*carried, F.array_sort(leaks).alias("_leaks"))
+        return found.select(*restored.values(), F.col("_leaks").alias("leaks"))
+    digest = F.sha2(text.cast("binary"), 256)
+    passes = None
+    for block in blocks:
+        searched = documents.select(text, _search(block, budget, result)(text).alias("_leaks"))
+        hits = searched.where(F.size("_leaks") > 0).select(
+            digest.alias("_digest"), F.explode("_leaks").alias("_leak")
+        )
+        hits = stage(hits.select("_digest", "_leak.item_id", "_leak.edits").distinct())
+        passes = hits if passes is None else passes.unionAll(hits)
+    fewest = passes.groupBy("_digest", "item_id").agg(F.min("edits").alias("edits"))
+    listed = fewest.groupBy("_digest").agg(
+        F.array_sort(F.collect_list(F.struct("item_id", "edits"))).alias("_leaks")
+    )
+    # Staged, its size is known: Spark broadcasts it only below its threshold.
+    joined = documents.select(*carried, digest.alias("_digest")).join(stage(listed), "_digest", "left")
+    return joined.select(*restored.values(), F.coalesce("_leaks", nothing).alias("leaks"))
+
+
+def _blocks(benchmark: DataFrame, block_chars: int) -> list[DataFrame]:
+    """The different items that are not null, in frames of at most `block_chars` characters.
+
+    Items are dealt to many bins by hash, and bins packed in order while they fit.
+    """
+    usable = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
+    usable = stage(usable.select("item_id", "text").distinct())
+    total = usable.agg(F.sum(F.length("text"))).first()[0] or 0
+    bin_of = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, 16 * total // block_chars)))
+    packed, filled = [], block_chars
+    sizes = usable.groupBy(bin_of.alias("bin")).agg(F.sum(F.length("text")).alias("n"))
+    for row in sizes.where("n > 0").orderBy("bin").collect():
+        if not packed or filled + row["n"] > block_chars:
+            packed.append([row["bin"], row["bin"]])
+            filled = 0
+        packed[-1][1] = row["bin"]
+        filled += row["n"]
+    return [usable.where(bin_of.between(low, high)) for low, high in packed]
+
+
+def _search(block: DataFrame, budget: Budget, result: str):
+    """A function that finds a block's items in texts."""
+    items = block.sparkSession.sparkContext.broadcast([tuple(r) for r in block.collect()])
+    name = uuid.uuid4().hex
+
+    def index() -> Index:
+        kept = kept_by_worker("benchmark block", dict)
+        if name not in kept:
+            kept.clear()
+            kept[name] = Index(items.value, budget)
+        return kept[name]
 
-def _search(items, budget: Budget, result: str):
     @F.pandas_udf(result)
     def search(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(items.value, budget)
+        block_index = index()
         for batch in texts:
             yield pd.Series(
-                [[{"item_id": k, "edits": n} for k, n in index.find(t).items()] for t in batch]
+                [[{"item_id": k, "edits": n} for k, n in block_index.find(t).items()] for t in batch]
             )
 
-    return search
+    # Or a filter on what is found would search once more.
+    return search.asNondeterministic()
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, budget: Budget = Budget()) -> DataFrame:
