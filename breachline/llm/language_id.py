@@ -23,13 +23,14 @@ class Settings:
 
     A dictionary holds at most `dictionary_bytes`, all of them together `all_bytes`, so what is sent
     to executors does not grow with the corpus. They are made of about `sample_docs` labelled
-    documents per language, of each of which at most `excerpt_chars` are used. Texts are compressed
-    in blocks of `block_bytes`, so that a long text cannot stand in for the dictionary, and in lower
-    case, so that shouting reads like speech.
+    different texts per language, of each of which at most `excerpt_chars` are looked at, in `pieces`
+    from start to end. Texts are compressed in blocks of `block_bytes`, so that a long text cannot
+    stand in for the dictionary, and in lower case, so that shouting reads like speech.
     """
 
     sample_docs: int = 300
     excerpt_chars: int = 2000
+    pieces: int = 4
     dictionary_bytes: int = 128 << 10
     all_bytes: int = 16 << 20
     block_bytes: int = 2048
@@ -79,31 +80,52 @@ def held_out(doc_id: Column) -> Column:
 def learn(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, bytes]:
     """A dictionary of sample text for each value of `lang` among the labelled rows.
 
-    The sample is the documents of each language with the least hash of their text. It is chosen in
-    two steps: a cut on the hash that leaves about twice the sample, from the count of the language,
-    then the exact choice among those. Only that bounded sample reaches the driver.
+    The sample is the different texts of each language with the least hash; copies count once. It
+    is chosen in two steps: a cut on the hash that leaves about twice the sample, from the number of
+    different texts of the language, then the exact choice among those. Only excerpts of that
+    bounded sample are shuffled and reach the driver. Every document of the sample is in the
+    dictionary: short ones whole, and what they leave is shared evenly among the others.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.select("lang", "text", F.xxhash64("text").alias("_hash"))
     # Staged, its size is known: a number per language is broadcast and the texts stay in place.
-    counts = stage(rows.groupBy("lang").agg(F.count("*").alias("_n")))
+    different = rows.select("lang", "_hash").distinct()
+    counts = stage(different.groupBy("lang").agg(F.count("*").alias("_n")))
     keep = F.least(F.lit(1.0), F.lit(2.0 * settings.sample_docs + 50) / F.col("_n"))
     place = F.pmod(F.col("_hash"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     thinned = rows.join(counts, "lang").where(place < keep)
-    ranked = thinned.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("lang").orderBy("_hash"))
-    )
-    sample = ranked.where(F.col("_rank") <= settings.sample_docs).select(
-        "lang", F.substring("text", 1, settings.excerpt_chars).alias("text"), "_rank"
-    )
-    by_language: dict[str, list[str]] = {}
+    excerpts = thinned.select("lang", "_hash", _excerpt(F.col("text"), settings).alias("text"))
+    once = excerpts.groupBy("lang", "_hash").agg(F.min("text").alias("text"))
+    ranked = once.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(place, "_hash")))
+    sample = ranked.where(F.col("_rank") <= settings.sample_docs)
+    by_language: dict[str, list[bytes]] = {}
     for row in sorted(sample.collect(), key=lambda r: (r["lang"], -r["_rank"])):
-        by_language.setdefault(row["lang"], []).append(row["text"])
+        by_language.setdefault(row["lang"], []).append(row["text"].lower().encode("utf-8", "replace"))
     each = min(settings.dictionary_bytes, settings.all_bytes // max(1, len(by_language)))
-    return {
-        language: "\n".join(texts).lower().encode("utf-8", "replace")[-each:]
-        for language, texts in by_language.items()
-    }
+    return {language: _shared(texts, each) for language, texts in by_language.items()}
+
+
+def _excerpt(text: Column, settings: Settings) -> Column:
+    """At most `excerpt_chars` of a text, in pieces that lie evenly from its start to its end."""
+    n, pieces = F.length(text), settings.pieces
+    size = settings.excerpt_chars // pieces
+    start = [F.floor((n - size) * (k / max(1, pieces - 1))).cast("int") + 1 for k in range(pieces)]
+    spread = F.concat_ws("\n", *[F.substring(text, s, F.lit(size)) for s in start])
+    return F.when(n <= settings.excerpt_chars, text).otherwise(spread)
+
+
+def _shared(texts: list[bytes], most: int) -> bytes:
+    """The texts in `most` bytes: short ones whole, the others their middle, all of one length."""
+    left, limit = most - len(texts), 0
+    for i, size in enumerate(sorted(map(len, texts))):
+        limit = left // (len(texts) - i)
+        if size > limit:
+            break
+        left -= size
+    else:
+        limit = max(map(len, texts), default=0)
+    cut = [t[(len(t) - limit) // 2 :][:limit] if len(t) > limit else t for t in texts]
+    return b"\n".join(cut)[:most]
 
 
 def language(text: Column, dictionaries: Broadcast, settings: Settings = Settings()) -> Column:

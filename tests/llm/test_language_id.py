@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from breachline.llm import language_id, queries
 from breachline.llm.language_id import Compressors, Settings, held_out, identify, learn
 
 EN = "the quick brown fox and the lazy dog went over the hill with their friends in the morning "
@@ -61,6 +63,74 @@ def test_what_is_learned_is_bounded(spark):
     assert learn(labelled, settings) == learn(labelled.repartition(3), settings)
 
 
+def test_copies_do_not_fill_the_sample(spark):
+    rows = [(i, f"{EN} {i}", "en") for i in range(40)] + [(100 + i, "the same text " * 30, "en") for i in range(900)]
+    got = learn(spark.createDataFrame(rows, SCHEMA), Settings(sample_docs=60))["en"]
+    assert got.count(b"the same text the same") <= 30
+    assert all(f"{EN} {i}".encode() in got for i in range(40))
+
+
+def test_every_sampled_document_is_in_the_dictionary(spark):
+    words = [f"w{i}x" for i in range(300)]
+    rows = [(i, f"{w} " * 4000, "en") for i, w in enumerate(words)]
+    got = learn(spark.createDataFrame(rows, SCHEMA))["en"]
+    assert len(got) <= 128 << 10
+    assert all(f" {w} ".encode() in got for w in words)
+
+
+def test_excerpts_reach_from_start_to_end(spark):
+    text = " ".join(f"n{i}n" for i in range(5000))
+    row = spark.createDataFrame([(1, text, "en")], SCHEMA)
+    got = row.select(language_id._excerpt(F.col("text"), Settings()).alias("x")).first()["x"]
+    assert len(got) == 2003 and got.startswith("n0n ") and got.endswith(" n4999n")
+    pieces = got.split("\n")
+    assert len(pieces) == 4 and all(p in text for p in pieces)
+
+
+@pytest.mark.parametrize("sizes", [[], [0], [3, 3, 3], [1, 50, 900, 900], [5000]])
+def test_shared_bytes(sizes):
+    got = language_id._shared([bytes([97 + i]) * n for i, n in enumerate(sizes)], 1000)
+    assert len(got) <= 1000
+    if sum(sizes) + len(sizes) <= 1000:
+        assert len(got) == sum(sizes) + max(0, len(sizes) - 1)
+    elif sizes:
+        assert len(got) >= 1000 - 2 * len(sizes)
+
+
+def brute_language(text, dictionaries, settings):
+    """The smallest sum of block sizes, with plain library calls."""
+    import re
+
+    import zstandard as zstd
+
+    if not re.search(r"[^\W\d_]", text or ""):
+        return "und"
+    raw, size = text.lower().encode(), {}
+    for name, content in dictionaries.items():
+        learned = zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT)
+        size[name] = sum(
+            len(
+                zstd.ZstdCompressor(level=settings.level, dict_data=learned, write_content_size=False).compress(
+                    raw[i : i + settings.block_bytes]
+                )
+            )
+            for i in range(0, len(raw), settings.block_bytes)
+        )
+    return min(size, key=lambda k: (size[k], k))
+
+
+def test_query_equals_brute_force(spark):
+    folder, settings = "/root/testdata/sf0.001", Settings()
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    dictionaries = learn(docs.where(~held_out(F.col("doc_id"))).select("lang", "text"), settings)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = queries.op5_language_id(spark, folder).collect()
+    assert len(got) == len(texts)
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {
+        k: brute_language(t, dictionaries, settings) for k, t in texts.items()
+    }
+
+
 def test_held_out_is_by_the_id(spark):
     import zlib
 
