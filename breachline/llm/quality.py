@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
@@ -12,11 +13,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import hide, kept_by_worker
+from .shared import hide, kept_by_worker, stage
 
 _SIGNALS = ["words", "letters", "upper", "symbols", "marks", "repeats", "bars"]
-#: Characters of a text that are looked at together, to bound memory.
+#: Characters of a text that are looked at together, to bound memory, but for the end of a word.
 _SLICE = 1 << 20
+_SPACE = re.compile(r"\s")
 
 
 @dataclass(frozen=True)
@@ -86,9 +88,15 @@ def _codes(text: str) -> np.ndarray:
 
 
 def _slices(text: str | None) -> Iterator[str]:
-    text = text or ""
-    for i in range(0, len(text), _SLICE):
-        yield text[i : i + _SLICE]
+    """Parts of a text that end between words; a single longer word is a part."""
+    text, start = text or "", 0
+    while start < len(text):
+        end = start + _SLICE
+        if end < len(text):
+            cut = _SPACE.search(text, end)
+            end = cut.start() if cut else len(text)
+        yield text[start:end]
+        start = end
 
 
 _MARKS = np.array([ord(c) + 16 for c in ".!?,;:"], np.uint32)
@@ -114,26 +122,29 @@ def signals_of(text: str | None) -> tuple[int, ...]:
     return tuple(total.tolist())
 
 
-def features_of(text: str | None, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def features_of(
+    text: str | None, buckets: int, signals: tuple[int, ...] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of a whole text: runs of three and four character classes, and repetition.
 
     A run of one class counts as one, so words look alike whatever their letters and length. Values
-    are logarithms of shares, scaled to length one.
+    are logarithms of shares, scaled to length one. Signals that are known already can be passed on.
     """
-    count = np.zeros(buckets)
+    count, before = np.zeros(buckets), np.empty(0, np.uint64)
     for part in _slices(text):
-        kind = _classes()[_codes(part)].astype(np.uint64)
-        if not kind.size:
-            continue
+        # The last classes of a part go before the next, so that no run of them is lost between two.
+        kind = np.concatenate([before, _classes()[_codes(part)].astype(np.uint64)])
         kind = kind[np.append(True, kind[1:] != kind[:-1])]
         for n, seed in ((3, 0x9E3779B97F4A7C15), (4, 0xC2B2AE3D27D4EB4F)):
-            if kind.size >= n:
-                h = np.full(kind.size - n + 1, seed, np.uint64)
+            new = kind[max(0, before.size - n + 1) :]
+            if new.size >= n:
+                h = np.full(new.size - n + 1, seed, np.uint64)
                 for k in range(n):
-                    h = (h ^ kind[k : kind.size - n + 1 + k]) * np.uint64(0xFF51AFD7ED558CCD)
+                    h = (h ^ new[k : new.size - n + 1 + k]) * np.uint64(0xFF51AFD7ED558CCD)
                     h ^= h >> np.uint64(33)
                 count += np.bincount((h % np.uint64(buckets - 16)).astype(np.int64), minlength=buckets)
-    words, *_, repeats, _ = signals_of(text)
+        before = kind[-3:]
+    words, *_, repeats, _ = signals or signals_of(text)
     at = np.flatnonzero(count)
     value = np.log1p(100 * count[at] / max(1.0, count.sum()))
     at = np.append(at, buckets - 16 + min(9, int(10 * repeats / max(1, words))))
@@ -216,8 +227,9 @@ def score_documents(
     There are at most three to the number of labellers patterns, which bounds what reaches the
     driver besides the sample. Null and empty texts have no letters: their quality is 0. All rows
     and columns stay; columns with the two names are replaced. Equal rows, and equal texts, give
-    equal results; very long texts are read in slices. With no documents there is nothing to learn
-    and no row.
+    equal results. Very long texts are read in slices that end between words and share the classes
+    around their ends, so their length changes no result. With no documents there is nothing to
+    learn and no row.
     """
     rules = labellers() if rules is None else dict(rules)
     spark = documents.sparkSession
@@ -225,13 +237,14 @@ def score_documents(
     carried, restored = hide(documents, ("text",), ("weak_label", "quality"))
     text = F.col("text")
 
-    def voted(frame: DataFrame, *columns: Column | str) -> DataFrame:
-        seen = frame.select(*columns, signals(text).alias("_signals"))
-        return seen.withColumns({s: F.col(f"_signals.{s}") for s in _SIGNALS})
+    def voted(frame: DataFrame) -> DataFrame:
+        return frame.withColumns({s: F.col(f"_signals.{s}") for s in _SIGNALS})
 
-    lettered = F.when(F.col("letters") > 0, F.xxhash64("text"))
-    votes = voted(documents.select("text"), "text").select(pattern.alias("pattern"), lettered.alias("text"))
-    seen = votes.groupBy("pattern").agg(F.count("*"), F.approx_count_distinct("text")).collect()
+    # Staged without the texts, so they are read along once for the votes and once for the scores.
+    looked_at = stage(documents.select(F.xxhash64("text").alias("hash"), signals(text).alias("_signals")))
+    votes = voted(looked_at).withColumn("pattern", pattern)
+    lettered = F.when(F.col("letters") > 0, F.col("hash"))
+    seen = votes.groupBy("pattern").agg(F.count("*"), F.approx_count_distinct(lettered)).collect()
     counts = {tuple(r[0]): r[1] for r in seen}
     prior, right = accuracies(counts)
     label = {
@@ -247,14 +260,17 @@ def score_documents(
     leave = 1.5 * settings.sample_docs + 100
     good_rate, bad_rate = (min(1.0, leave / max(1, n)) for n in (n_good, n_bad))
 
-    texts = voted(documents.select("text"), "text").where(F.col("letters") > 0)
-    texts = texts.select("text", weak.alias("label"), F.xxhash64("text").alias("hash"))
+    texts = votes.where("letters > 0").select("hash", weak.alias("label"))
     texts = texts.withColumn("good", F.col("label") >= 0.5)
     place = F.pmod(F.col("hash"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     thinned = texts.where(place < F.when(F.col("good"), good_rate).otherwise(bad_rate))
-    folded = thinned.groupBy("good", "hash").agg(F.max("text").alias("text"), F.max("label").alias("label"))
+    folded = thinned.groupBy("good", "hash").agg(F.max("label").alias("label"))
     least = Window.partitionBy("good").orderBy(place, "hash")
     drawn = folded.withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= settings.sample_docs)
+    # Staged, its size is known: the hashes are broadcast and the texts stay where they are.
+    drawn = stage(drawn.groupBy("hash").agg(F.max("label").alias("label")))
+    found = documents.select("text", F.xxhash64("text").alias("hash")).where("text IS NOT NULL").join(drawn, "hash")
+    drawn_texts = found.groupBy("hash").agg(F.max("text").alias("text"), F.max("label").alias("label"))
     buckets = settings.buckets
 
     @F.pandas_udf("at array<int>, value array<double>")
@@ -263,23 +279,24 @@ def score_documents(
             found = [features_of(t, buckets) for t in batch]
             yield pd.DataFrame({"at": [f[0].astype("int32") for f in found], "value": [f[1] for f in found]})
 
-    rows = drawn.select(features(text).alias("f"), "label").select("f.at", "f.value", "label")
+    rows = drawn_texts.select(features(text).alias("f"), "label").select("f.at", "f.value", "label")
     model = spark.sparkContext.broadcast(fit([tuple(r) for r in rows.collect()], settings))
 
-    @F.pandas_udf("double")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf(", ".join(f"{name} long" for name in _SIGNALS) + ", judged double")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         weights, bias = model.value
         for batch in batches:
             out = []
             for t in batch:
-                at, value = features_of(t, buckets)
-                out.append(1 / (1 + np.exp(-np.clip(weights[at] @ value + bias, -30, 30))))
-            yield pd.Series(out, dtype="float64")
+                own = signals_of(t)
+                at, value = features_of(t, buckets, own)
+                out.append((*own, 1 / (1 + np.exp(-np.clip(weights[at] @ value + bias, -30, 30)))))
+            frame = pd.DataFrame(out, columns=[*_SIGNALS, "judged"])
+            yield frame.astype(dict.fromkeys(_SIGNALS, "int64") | {"judged": "float64"})
 
-    hidden = documents.select(*carried)
-    scored = voted(hidden, *hidden.columns, judge(text).alias("_judged"))
+    scored = voted(documents.select(*carried, judge(text).alias("_signals")))
     return scored.select(
         *restored.values(),
         weak.alias("weak_label"),
-        F.when(F.col("letters") == 0, 0.0).otherwise(F.col("_judged")).alias("quality"),
+        F.when(F.col("letters") == 0, 0.0).otherwise(F.col("_signals.judged")).alias("quality"),
     )

@@ -1,7 +1,9 @@
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from breachline.llm import quality
+from breachline.llm import quality, queries
 from breachline.llm.quality import Settings, accuracies, features_of, score_documents, signals_of
 
 GOOD = "This is a plain sentence about some thing. Another one follows it, and then it ends."
@@ -45,12 +47,62 @@ def test_empty_table(spark):
     assert score_documents(frame(spark, [])).count() == 0
 
 
-def test_signals_do_not_depend_on_slices(monkeypatch):
-    text = " ".join([GOOD, *BAD, GOOD])
-    whole = signals_of(text)
-    monkeypatch.setattr(quality, "_SLICE", 1 << 5)
-    # A word that is cut counts once more for each cut; everything else is the same.
-    assert signals_of(text)[1:5] == whole[1:5] and signals_of(text)[6] == whole[6]
+def test_nothing_depends_on_slices(monkeypatch):
+    long_word = "go " + "x1" * 400 + " go go " + "Y" * 300
+    for text in (" ".join([GOOD, *BAD, GOOD]), "again " * 500, " " * 300 + "end", long_word, "a\u2003b" * 200):
+        signals, (at, value) = signals_of(text), features_of(text, 1 << 10)
+        for size in (1, 3, 32, 257):
+            with monkeypatch.context() as patch:
+                patch.setattr(quality, "_SLICE", size)
+                assert "".join(quality._slices(text)) == text
+                assert signals_of(text) == signals
+                cut_at, cut_value = features_of(text, 1 << 10)
+                assert cut_at.tolist() == at.tolist() and np.allclose(cut_value, value, atol=1e-12)
+
+
+def test_words_of_a_long_text_are_counted_exactly():
+    text = "eleven characters " * 100_000
+    assert len(text) > quality._SLICE and signals_of(text)[0] == 200_000
+
+
+def plain_signals(text):
+    """The signals, character by character."""
+    from unicodedata import category
+
+    words, kinds = (text or "").split(), [(c, category(c)) for c in text or ""]
+    odd = [c for c, k in kinds if k[0] not in "LMNZ" and c not in "\t\n\x0b\x0c\r"]
+    bars = sum(c == "|" for c in odd)
+    return (
+        len(words),
+        sum(k[0] in "LM" for _, k in kinds),
+        sum(k == "Lu" for _, k in kinds),
+        sum(c not in ".!?,;:'\"()-’“”" for c in odd),
+        sum(c in ".!?,;:" for c in odd),
+        sum(x == y for x, y in zip(words, words[1:])),
+        bars,
+    )
+
+
+def test_query_equals_brute_force(spark):
+    """All texts are in the sample here, so the scorer can be fitted again in plain Python."""
+    folder, settings = "/root/testdata/sf0.001", Settings()
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    names, rules = quality._SIGNALS, list(quality.labellers().values())
+    rows = [(r["doc_id"], *plain_signals(r["text"])) for r in docs]
+    frame = spark.createDataFrame(rows, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    pattern = {r[0]: tuple(r[1:]) for r in frame.select("doc_id", *rules).collect()}
+    prior, right = quality.accuracies(Counter(pattern.values()))
+    label = {k: float(quality.posterior(np.array([p], float), prior, right)[0]) for k, p in pattern.items()}
+    texts = {r["text"]: (r["doc_id"], r["text"]) for r in docs if plain_signals(r["text"])[1]}
+    weights, bias = quality.fit([(*features_of(t, settings.buckets), label[k]) for k, t in texts.values()], settings)
+    got = {r["doc_id"]: r for r in queries.op9_quality(spark, folder).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        at, value = features_of(r["text"], settings.buckets)
+        want = 1 / (1 + np.exp(-(weights[at] @ value + bias))) if plain_signals(r["text"])[1] else 0.0
+        one = got[r["doc_id"]]
+        assert abs(one["quality"] - want) < 1e-6 and abs(one["weak_label"] - label[r["doc_id"]]) < 1e-9
+        assert one["keep"] == (one["quality"] >= 0.5)
 
 
 def test_signals():
