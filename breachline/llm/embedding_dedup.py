@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +16,10 @@ from .shared import components, stage
 SHARD = 16_384
 #: Vectors put in or asked together.
 _BATCH = 256
-#: Queries whose answers are compared with brute force, in each task.
-AUDIT = 128
+#: True links that an audit looks for before it trusts a beam.
+AUDIT = 1_000
+#: Candidate pairs verified in one step.
+_PAIRS = 65_536
 
 
 class Graph:
@@ -184,43 +187,62 @@ class Graph:
             live = live[open_[live].any(axis=1)]
         return ids, score
 
-    def within(self, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of a query and a vector that score `least` or more, by a beam of that width.
+    def within(self, queries: np.ndarray, least: float, beam: int | None) -> Iterator[tuple[int, np.ndarray]]:
+        """Which vectors score `least` or more: for each batch its first query, and a row of flags a query.
 
-        A query whose beam is full of such vectors is asked again with a wider one.
+        A query whose beam is full of such vectors is asked again with a wider one. Where that would
+        see much of the graph, and without a beam, it is compared with every vector.
         """
-        out_q, out_v = [], []
+        n = self.sizes[0]
         for start in range(0, len(queries), _BATCH):
-            todo, width = np.arange(start, min(len(queries), start + _BATCH)), min(beam, self.sizes[0])
+            part = queries[start : start + _BATCH]
+            hit = np.zeros((len(part), n), bool)
+            todo, width = np.arange(len(part)), beam and min(beam, n)
             while todo.size:
-                ids, score = self._search(queries[todo], 0, width)
-                hit = (score >= least) & (ids >= 0)
-                full = hit.all(axis=1) & (width < self.sizes[0])
-                r, c = np.nonzero(hit & ~full[:, None])
-                out_q.append(todo[r])
-                out_v.append(self.order[ids[r, c]])
-                todo, width = todo[full], min(4 * width, self.sizes[0])
-        return np.concatenate(out_q), np.concatenate(out_v)
-
-
-def audited(graph: Graph, queries: np.ndarray, least: float, goal: float, beam: int = 48):
-    """Pairs as `Graph.within` gives, from a beam wide enough for the audit.
-
-    The audit compares some queries with brute force. Until they reach the goal the beam doubles; a
-    beam as wide as the graph's size finds all that the graph can reach, and then the queries are
-    compared with every vector.
+                if width is None:
+                    hit[todo[:, None], self.order] = part[todo] @ self.vectors.T >= least
+                    break
+                ids, score = self._search(part[todo], 0, width)
+                good = (score >= least) & (ids >= 0)
+                full = good.all(axis=1) & (width < n)
+                r, c = np.nonzero(good & ~full[:, None])
+                hit[todo[r], self.order[ids[r, c]]] = True
+                todo, width = todo[full], 4 * width if 32 * width < n else None
+            yield start, hit
+
+
+def audited(
+    graph: Graph, queries: np.ndarray, least: float, goal: float, beam: int = 48, own: bool = False
+) -> int | None:
+    """The beam that passes the audit, or none if no beam does.
+
+    The audit compares queries with brute force, in an order drawn once, until `AUDIT` true links
+    are seen or no query is left; a shard with few links is therefore audited by all of them. The
+    beam doubles until it finds the goal's share of these links. `own` says that the queries are the
+    graph's vectors, in their order, whose links to themselves tell nothing.
     """
-    picked = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int))
-    truth = queries[picked] @ graph.vectors.T >= least
-    wanted = int(truth.sum())
+    draw = np.random.default_rng(len(queries)).permutation(len(queries))
+    asked, wanted = [], 0
+    for start in range(0, len(draw), _BATCH):
+        some = draw[start : start + _BATCH]
+        true = queries[some] @ graph.vectors.T >= least
+        if own:
+            true &= graph.order != some[:, None]
+        asked.append(some[true.any(axis=1)])
+        wanted += int(true.sum())
+        if wanted >= AUDIT:
+            break
+    asked = np.concatenate(asked) if asked else draw
     while beam < graph.sizes[0]:
-        found = graph.within(queries[picked], least, beam)[0].size
+        found = 0
+        for start, hit in graph.within(queries[asked], least, beam):
+            if own:
+                hit[np.arange(len(hit)), asked[start : start + len(hit)]] = False
+            found += int(hit.sum())
         if found >= goal * wanted:
-            return graph.within(queries, least, beam)
+            return beam
         beam *= 2
-    out = [np.nonzero(queries[i : i + _BATCH] @ graph.vectors.T >= least) for i in range(0, len(queries), _BATCH)]
-    q = np.concatenate([r + i * _BATCH for i, (r, _) in enumerate(out)])
-    return q, graph.order[np.concatenate([c for _, c in out])]
+    return None
 
 
 def _matrix(values) -> np.ndarray:
@@ -233,85 +255,138 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-def _pack(graph: Graph, ids: np.ndarray, vectors: np.ndarray) -> bytes:
-    import io
+class Shard:
+    """A graph with what its vectors stand for: class ids, number of rows of each, unit vectors."""
 
-    out = io.BytesIO()
-    np.savez(out, ids=ids, vectors=vectors, order=graph.order, near=graph.vectors, **{
-        f"links{k}": links for k, links in enumerate(graph.links)
-    })
-    return out.getvalue()
+    def __init__(self, graph: Graph, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray):
+        self.graph, self.ids, self.rows, self.vectors = graph, ids, rows, vectors
 
+    def pack(self) -> bytes:
+        out = io.BytesIO()
+        links = {f"links{k}": x for k, x in enumerate(self.graph.links)}
+        own = {"ids": self.ids, "rows": self.rows, "vectors": self.vectors}
+        np.savez(out, order=self.graph.order, near=self.graph.vectors, **own, **links)
+        return out.getvalue()
 
-def _unpack(data: bytes) -> tuple[Graph, np.ndarray, np.ndarray]:
-    import io
+    @classmethod
+    def unpack(cls, data: bytes) -> Shard:
+        graph, box = Graph.__new__(Graph), np.load(io.BytesIO(data))
+        graph.order, graph.vectors = box["order"], box["near"]
+        graph.links = [box[f"links{k}"] for k in range(sum(f.startswith("links") for f in box.files))]
+        graph.sizes = [len(x) for x in graph.links]
+        graph.degree = graph.links[0].shape[1] // 2
+        return cls(graph, box["ids"], box["rows"], box["vectors"])
 
-    graph, box = Graph.__new__(Graph), np.load(io.BytesIO(data))
-    graph.order, graph.vectors = box["order"], box["near"]
-    graph.links = [box[f"links{k}"] for k in range(sum(f.startswith("links") for f in box.files))]
-    graph.sizes = [len(x) for x in graph.links]
-    graph.degree = graph.links[0].shape[1] // 2
-    return graph, box["ids"], box["vectors"]
 
+def _candidates(one: Shard, other: Shard, least: float, goal: float) -> np.ndarray:
+    """Pairs that either shard's graph finds for the other's vectors, a bit each.
 
-def similar_pairs(
-    classes: DataFrame, least: float = 0.93, shard: int = SHARD, goal: float = 0.999
-) -> DataFrame:
-    """Pairs `a` < `b` of classes with the same label and cosine of `least` or more.
-
-    `classes` has `label`, `class_id` (bigint) and `embedding` (array of double), no two rows of a
-    label alike. Vectors of a label are dealt by hash to shards of about `shard`, each with a graph
-    of its own, built once. All vectors of the label ask every shard, in blocks of about `shard`, so
-    that a task holds one graph and one block. A pair counts if either side finds it, and only if
-    its cosine in double precision is high enough.
+    A row is a vector of `other`; its bits are those of `one`. The two may be the same shard, whose
+    pairs are then in both halves. The bits take an eighth of a byte a pair however many are set.
+    """
+    bits = np.zeros((len(other.ids), -(-len(one.ids) // 8)), np.uint8)
+    # A little below the bound, for what single precision may lose.
+    least -= 1e-5
+    for graph, asking, turned in ((one.graph, other, False), (other.graph, one, True)):
+        own = one is other
+        if own and turned:
+            break
+        queries = asking.vectors.astype(np.float32)
+        beam = audited(graph, queries, least, goal, own=own)
+        for start, hit in graph.within(queries, least, beam):
+            if own or not turned:
+                bits[start : start + len(hit)] |= np.packbits(hit, axis=1)
+            if own or turned:
+                # A batch is a multiple of 8, so its columns fill whole bytes.
+                packed = np.packbits(hit.T, axis=1)
+                bits[:, start // 8 : start // 8 + packed.shape[1]] |= packed
+    return bits
+
+
+def _cell(one: Shard, other: Shard, least: float, goal: float) -> pd.DataFrame:
+    """Links between the classes of two shards: rows linked to each class, and a forest of edges.
+
+    All candidates are verified in double precision, a batch of rows at a time. Of the links only
+    those go on that join two parts not joined before, so there are fewer than vectors.
+    """
+    bits, own, n = _candidates(one, other, least, goal), one is other, len(one.ids)
+    ids = one.ids if own else np.concatenate([one.ids, other.ids])
+    rows, part = np.zeros(len(ids), np.int64), np.arange(len(ids))
+    base, from_, to = 0 if own else n, [], []
+    for start in range(0, len(bits), _BATCH):
+        near = np.unpackbits(bits[start : start + _BATCH], axis=1, count=n).astype(bool)
+        if own:
+            near[np.arange(len(near)), start + np.arange(len(near))] = False
+        r, c = np.nonzero(near)
+        for i in range(0, r.size, _PAIRS):
+            x, y = r[i : i + _PAIRS], c[i : i + _PAIRS]
+            near[x, y] = np.einsum("ij,ij->i", other.vectors[start + x], one.vectors[y]) >= least
+        at = base + start
+        rows[at : at + len(near)] += near @ one.rows
+        if not own:
+            rows[:n] += other.rows[start : start + len(near)] @ near
+        for i in np.flatnonzero(near.any(axis=1)):
+            met = np.flatnonzero(near[i])
+            met = met[part[met] != part[at + i]]
+            if met.size:
+                parts, first = np.unique(part[met], return_index=True)
+                from_.append(np.full(first.size, at + i))
+                to.append(met[first])
+                joined = np.zeros(len(ids), bool)
+                joined[parts] = True
+                part[joined[part]] = part[at + i]
+    linked = np.flatnonzero(rows)
+    counts = pd.DataFrame({"a": ids[linked], "b": None, "around": rows[linked]})
+    if not from_:
+        return counts
+    edges = pd.DataFrame({"a": ids[np.concatenate(from_)], "b": ids[np.concatenate(to)], "around": 0})
+    return pd.concat([counts.astype({"b": "Int64"}), edges.astype({"b": "Int64"})])
+
+
+def links(classes: DataFrame, least: float = 0.93, shard: int = SHARD, goal: float = 0.999) -> DataFrame:
+    """How the classes of a label are linked by cosines of `least` or more: rows `a`, `b`, `around`.
+
+    `classes` has `label`, `class_id` (bigint), `rows` (bigint, what the class stands for) and
+    `embedding` (array of double), no two classes of a label alike. Vectors of a label are dealt by
+    hash to shards of about `shard`, each with a graph of its own, built once. Every shard's vectors
+    ask every shard's graph: a task holds two shards, which ask each other. So each pair is met in
+    one task, and the pairs themselves stay there. Where `b` is null, `around` counts rows of other
+    classes linked to `a`, to be added up over all tasks; else `a` and `b` are linked, and these
+    links connect whatever is connected.
     """
     sizes = classes.groupBy("label").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
-    dealt = stage(
-        classes.join(sizes, "label").withColumn(
-            "part", F.pmod(F.xxhash64("class_id"), F.col("shards")).cast("int")
-        )
+    dealt = classes.join(sizes, "label").withColumn(
+        "part", F.pmod(F.xxhash64("class_id"), F.col("shards")).cast("int")
     )
 
     def build(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("class_id")
         vectors = _unit(_matrix(group["embedding"]))
-        packed = _pack(Graph(vectors), group["class_id"].to_numpy(np.int64), vectors)
+        ids, rows = (group[c].to_numpy(np.int64) for c in ("class_id", "rows"))
+        packed = Shard(Graph(vectors), ids, rows, vectors).pack()
         return pd.DataFrame(
-            {"label": [key[0]], "shard": [key[1]], "shards": [int(group["shards"].iloc[0])], "graph": [packed]}
+            {"label": [key[0]], "part": [key[1]], "shards": [int(group["shards"].iloc[0])], "shard": [packed]}
         )
 
     kind = classes.schema["label"].dataType.simpleString()
-    graphs = stage(
-        dealt.groupBy("label", "part").applyInPandas(
-            build, f"label {kind}, shard int, shards int, graph binary"
-        )
+    shards = stage(
+        dealt.groupBy("label", "part").applyInPandas(build, f"label {kind}, part int, shards int, shard binary")
     )
-    every = F.sequence(F.lit(0), F.col("shards") - 1)
-    asked = graphs.select("label", "shard", F.explode(every).alias("block"), "graph")
-    asking = dealt.select(
-        "label", F.explode(every).alias("shard"), F.col("part").alias("block"), "class_id", "embedding"
+    every = F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("with")
+    cells = shards.select("label", "part", every, "shard").select(
+        "label", F.least("part", "with").alias("one"), F.greatest("part", "with").alias("other"), "part", "shard"
     )
 
-    def ask(key: tuple, graph: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-        if not len(graph) or not len(block):
-            return none
-        index, ids, vectors = _unpack(graph["graph"].iloc[0])
-        mine = block["class_id"].to_numpy(np.int64)
-        own = _unit(_matrix(block["embedding"]))
-        q, v = audited(index, own.astype(np.float32), least - 1e-5, goal)
-        keep = mine[q] != ids[v]
-        q, v = q[keep], v[keep]
-        exact = np.concatenate(
-            [np.einsum("ij,ij->i", own[q[i : i + 65536]], vectors[v[i : i + 65536]]) for i in range(0, q.size, 65536)]
-            or [np.empty(0)]
-        )
-        q, v = mine[q[exact >= least]], ids[v[exact >= least]]
-        return pd.DataFrame({"a": np.minimum(q, v), "b": np.maximum(q, v)}).drop_duplicates()
+    def ask(group: pd.DataFrame) -> pd.DataFrame:
+        met = [Shard.unpack(data) for data in group.sort_values("part")["shard"]]
+        alone = group["one"].iloc[0] != group["other"].iloc[0] and len(met) < 2
+        # A shard may be empty, and then has no row.
+        return _NO_LINKS if alone else _cell(met[0], met[-1], least, goal)
+
+    return cells.groupBy("label", "one", "other").applyInPandas(ask, "a long, b long, around long")
 
-    keys = ["label", "shard", "block"]
-    found = asked.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(ask, "a long, b long")
-    return found.distinct()
+
+_NO_LINKS = pd.DataFrame({c: pd.Series(dtype="Int64") for c in ("a", "b", "around")})
 
 
 def near_embeddings(
@@ -348,11 +423,11 @@ def near_embeddings(
         F.any_value("label").alias("label"), F.any_value("embedding").alias("embedding"), F.count("*").alias("n")
     )
     classes = stage(folded.withColumn("class_id", F.monotonically_increasing_id()))
-    pairs = stage(similar_pairs(classes.select("label", "class_id", "embedding"), least, shard, goal))
-    both = pairs.union(pairs.select("b", "a")).toDF("class_id", "other")
-    weight = classes.select(F.col("class_id").alias("other"), "n")
-    around = both.join(weight, "other").groupBy("class_id").agg(F.sum("n").alias("around"))
-    roots = components(pairs).withColumnRenamed("node", "class_id")
+    found = stage(
+        links(classes.select("label", "class_id", F.col("n").alias("rows"), "embedding"), least, shard, goal)
+    )
+    around = found.where("b is null").groupBy(F.col("a").alias("class_id")).agg(F.sum("around").alias("around"))
+    roots = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "class_id")
     known = (
         classes.select("h1", "h2", "class_id", "n")
         .join(around, "class_id", "left")
