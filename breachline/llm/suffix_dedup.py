@@ -20,6 +20,8 @@ _INDEX = 1 << 18
 CROWD = 256
 #: Starts that a piece holds when crowded groups are dealt anew, and again; at one, groups are equal.
 _FINER = (16, 1)
+#: A key with more than one in so many of all rows is dealt over several tasks.
+_SPREAD = 1_000
 #: Hashes are compared without these bits, which hold the place to settle ties.
 _PLACE = np.uint64((1 << 23) - 1)
 _MULTIPLY = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -321,8 +323,8 @@ def repeated_strings(texts: DataFrame, length: int, crowd: int = CROWD) -> DataF
         cut, "_id long, _text long, anchor long, digest long, at long, n long, place long"
     )
     pieces = stage(cut_rows.withColumns({c: F.col(c).cast("int") for c in ("at", "n", "place")}))
-    anchors = pieces.groupBy("anchor").agg(F.count("*").alias("seen")).where("seen > 1")
-    pieces = stage(pieces.join(anchors.select("anchor"), "anchor"))
+    anchors = stage(pieces.groupBy("anchor").agg(F.count("*").alias("many")).where("many > 1"))
+    pieces = stage(_spread_join(pieces, anchors.select("anchor"), ["anchor"], anchors, pieces.count()))
 
     kinds = stage(
         pieces.groupBy("anchor", "digest").agg(
@@ -334,8 +336,7 @@ def repeated_strings(texts: DataFrame, length: int, crowd: int = CROWD) -> DataF
             F.min_by("at", "_text").alias("at"),
         )
     )
-    variety = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    varied = kinds.join(variety.where("kinds > 1"), "anchor")
+    varied = _varied(kinds, "anchor")
     wanted = varied.groupBy("_id", "_text").agg(
         F.collect_list(F.struct("anchor", "digest", "copies", "kinds", "n", "at", "place")).alias("wanted")
     )
@@ -363,7 +364,8 @@ def repeated_strings(texts: DataFrame, length: int, crowd: int = CROWD) -> DataF
     partial = _partly(fetched, length, crowd, _FINER).join(single, ["anchor", "digest"])
     results = full.union(partial)
     where = pieces.select("_id", "_text", "anchor", "digest", "at").distinct()
-    located = where.join(results, ["anchor", "digest"]).select(
+    copies = kinds.select("anchor", "digest", F.col("copies").alias("many"))
+    located = _spread_join(where, results, ["anchor", "digest"], copies, pieces.count()).select(
         "_id",
         "_text",
         F.transform(
@@ -374,6 +376,28 @@ def repeated_strings(texts: DataFrame, length: int, crowd: int = CROWD) -> DataF
     return located.groupBy("_id", "_text").agg(F.flatten(F.collect_list("runs")).alias("starts"))
 
 
+def _spread_join(rows: DataFrame, table: DataFrame, on: list[str], counts: DataFrame, total: int) -> DataFrame:
+    """Rows joined with a table of one row a key, where a key may hold any share of the rows.
+
+    `counts` has the keys and `many`, which is not below the number of rows with that key; these add
+    up to at most `total`. A key with more than one in `_SPREAD` of all is dealt over as many parts
+    as keep each below that, and its row of the table goes to each. There are fewer than `_SPREAD`
+    such keys, whatever the size, so they are broadcast.
+    """
+    parts = F.ceil(F.col("many") * F.lit(_SPREAD) / F.lit(max(1, total))).cast("int")
+    hot = F.broadcast(counts.where(F.col("many") * F.lit(_SPREAD) > F.lit(total)).select(*on, parts.alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    left = rows.join(hot, on, "left").withColumn("_part", F.pmod(F.monotonically_increasing_id(), parts).cast("int"))
+    right = table.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return left.drop("_parts").join(right.drop("_parts"), [*on, "_part"]).drop("_part")
+
+
+def _varied(kinds: DataFrame, key: str) -> DataFrame:
+    """Those whose key has several kinds, with their number, `kinds`."""
+    variety = stage(kinds.groupBy(key).agg(F.count("*").alias("many")).where("many > 1"))
+    return _spread_join(kinds, variety.withColumnRenamed("many", "kinds"), [key], variety, kinds.count())
+
+
 _RUNS = "array<struct<s:int,e:int>>"
 
 
@@ -427,11 +451,10 @@ def _finer(pieces: DataFrame, length: int, crowd: int, steps: tuple[int, ...]) -
         F.sum("copies").alias("copies"), F.max("n").alias("n"), F.max("place").alias("place"), F.max("piece").alias("piece")
     )
     kinds = stage(kinds)
-    variety = kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1")
     renamed = {"core": "anchor", "part": "digest"}
     full = kinds.where("copies > 1").select("core", "part", _whole().alias("runs"))
     if len(steps) > 1:
-        varied = kinds.join(variety, "core").withColumnsRenamed(renamed)
+        varied = _varied(kinds, "core").withColumnsRenamed(renamed)
         found = _partly(varied, length, crowd, steps[1:]).toDF("core", "part", "runs")
         single = kinds.where("copies = 1").select("core", "part")
         full = full.union(found.join(single, ["core", "part"]))
@@ -454,7 +477,8 @@ def _cores(piece: bytes, place: int, length: int, step: int) -> Iterator[tuple]:
 
 def _identity(text: Column) -> list[Column]:
     return [
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"),
+        # Ids that are no numbers go by a second hash, of its own kind.
+        F.coalesce(F.col("doc_id").try_cast("long"), F.hash("doc_id").cast("long")).alias("_id"),
         F.xxhash64(F.col("doc_id"), text).alias("_text"),
     ]
 

@@ -100,3 +100,23 @@ def test_empty_table_and_no_repeats(spark):
     assert suffix_dedup.remove_repeats(frame(spark, [])).count() == 0
     rows = [(1, "x" * 10), (2, None)]
     assert sorted(result(suffix_dedup.remove_repeats(frame(spark, rows)))) == sorted(brute.repeats(rows, 400))
+
+
+def test_hot_keys_are_dealt_and_nothing_is_lost(spark):
+    rows = spark.range(9_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("key"), F.col("id").alias("at")
+    )
+    counts = rows.groupBy("key").agg(F.count("*").alias("many"))
+    table = counts.where("key % 2 <> 0").select("key", F.lit("x").alias("value"))
+    joined = suffix_dedup._spread_join(rows, table, ["key"], counts, 9_000)
+    assert joined.columns == ["key", "at", "value"]
+    got = sorted(map(tuple, joined.collect()))
+    assert got == sorted(map(tuple, rows.join(table, "key").collect()))
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_part" in plan.split("Join Inner", 1)[1].splitlines()[0]
+
+
+def test_ids_that_are_no_numbers(spark):
+    named = [(f"doc-{i}", t) for i, (_, t) in enumerate(ROWS)] + [(None, BASE[:60])]
+    rows = spark.createDataFrame(named, "doc_id string, text string")
+    assert sorted(result(suffix_dedup.remove_repeats(rows, 32)), key=repr) == sorted(brute.repeats(named, 32), key=repr)
