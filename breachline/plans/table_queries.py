@@ -392,6 +392,35 @@ def _quarantine_bytes(spark, sf_dir):
     )
 
 
+def _stream_written_bytes(spark, sf_dir):
+    """What two sinks wrote: published events read again whole, and set-aside bytes held against what came."""
+    rules = [rule_contains("requesturl", "example", POLICY)]
+    envelopes = _damaged_pages(spark, sf_dir)
+    bad = scratch(spark, "quarantine")
+    target = _streamed(
+        spark,
+        envelopes,
+        lambda stream: route_detect(stream, rules, fields=PAGE),
+        quarantine_sink=FileSink(bad),
+    )
+    fields = PAGE + ", html string, violations array<struct<policyId:bigint>>"
+    published = _reread(spark.read.parquet(target), fields, "gzip").select(
+        F.lit("violations").alias("output"),
+        "page_id",
+        F.lit(-1).alias("pos"),
+        F.concat("requesturl", F.lit(" "), F.md5("html"), F.lit(" "), F.to_json("violations")).alias("content"),
+    )
+    came = envelopes.select("offset", F.md5("value").alias("came"))
+    whole = F.when(F.md5("value") == F.col("came"), "as it came").otherwise("changed")
+    aside = spark.read.parquet(bad).join(came, "offset").select(
+        F.lit("quarantine").alias("output"),
+        F.col("offset").alias("page_id"),
+        F.coalesce("pos", F.lit(-1)).alias("pos"),
+        F.when(F.col("pos").isNull(), whole).otherwise(F.col("value").cast("string")).alias("content"),
+    )
+    return published.unionByName(aside)
+
+
 def _failing(envelopes: DataFrame) -> DataFrame:
     """Rules of which one raises on every seventh event, and another on every eleventh."""
     rules = [
@@ -595,6 +624,7 @@ QUERIES: dict[str, Query] = {
     "stream_detect_lists": _stream_detect_lists,
     "stream_restart": _stream_restart,
     "quarantine_bytes": _quarantine_bytes,
+    "stream_written_bytes": _stream_written_bytes,
     "detect_failing_rule": _detect_failing_rule,
     "stream_failing_rule": _stream_failing_rule,
     "detect_token_rules": _detect_token_rules,
@@ -727,6 +757,12 @@ UNION ALL SELECT 'quarantine', page_id, reason FROM ({_DAMAGE_SQL})""",
 SELECT page_id, -1 AS pos, true AS same, NULL::VARCHAR AS element FROM pages WHERE page_id % 7 < 4
 UNION ALL SELECT page_id, 1, NULL, '7' FROM pages WHERE page_id % 7 = 4
 UNION ALL SELECT page_id, 2, NULL, '"text"' FROM pages WHERE page_id % 7 = 4""",
+    "stream_written_bytes": f"""
+SELECT 'violations' AS output, page_id, -1 AS pos,
+       url || ' ' || md5(html) || ' [{{"policyId":{POLICY}}}]' AS content {_FLAGGED_SQL}
+UNION ALL SELECT 'quarantine', page_id, -1, 'as it came' FROM pages WHERE page_id % 7 < 4
+UNION ALL SELECT 'quarantine', page_id, 1, '7' FROM pages WHERE page_id % 7 = 4
+UNION ALL SELECT 'quarantine', page_id, 2, '"text"' FROM pages WHERE page_id % 7 = 4""",
     "detect_failing_rule": _FAILING_SQL,
     "stream_failing_rule": _FAILING_SQL,
     "detect_token_rules": f"""
