@@ -1,6 +1,7 @@
 import gzip
 import json
 import time
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -177,6 +178,19 @@ def test_codec_output_is_cut_into_slices(monkeypatch):
     assert [s.to_pylist() for s in slices] == [[b"aaaa", None, b"bbbbbbb"], [b"c"]]
 
 
+def test_codec_memory_follows_a_few_values():
+    """Neither the batch as a whole nor large slices become objects, in steps of which a task has several."""
+    many = pa.array([bytes([i]) * (64 << 10) for i in range(256)])
+    tracemalloc.start()
+    try:
+        sizes = [s.nbytes for s in codecs._map_bytes(iter([many]), lambda data: data[::-1])]
+        _, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert sum(sizes) >= 16 << 20 and max(sizes) < 4 << 20
+    assert most < 8 << 20
+
+
 def test_many_slices_per_input_batch(spark):
     """Small compressed values whose text exceeds one slice many times over."""
     block = packed('[{"requesturl":"' + "u" * (1 << 20) + '"}]')
