@@ -33,7 +33,7 @@ ROUTED_COLUMNS = ("output", *COORDINATES, "pos", "key", "value", "reason")
 MESSAGE_BYTES = 900_000
 
 # Messages of a packing task are handed back to Spark in batches of about this size.
-_BATCH_BYTES = 16 << 20
+_BATCH_BYTES = 2 << 20
 
 
 def event_payloads(events: DataFrame, names: FieldNames = DEFAULT_NAMES) -> DataFrame:
@@ -94,7 +94,7 @@ def pack_payloads(
     encode = compressor(codec)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = (text for batch in batches for text in batch.column(0).to_pylist())
+        texts = (text.as_py() for batch in batches for text in batch.column(0))
         done, size = [], 0
         for message in _joined(texts, events_per_message, max_message_bytes):
             done.append(encode(message))
@@ -180,13 +180,18 @@ def _listed(rows: DataFrame, room: int, across: bool) -> DataFrame:
         texts: list[str] = []
         size = 1
         for batch in batches:
-            bodies = batch.column("text").to_pylist()
             sizes = pc.binary_length(batch.column("text").cast(pa.binary())).to_pylist()
             places = list(zip(*(batch.column(c).to_pylist() for c in COORDINATES)))
             # Rows to give, in order: what each is made of, and its text.
             given: list[tuple[int, str | None]] = []
+            held = 0  # bytes of texts to give, from when on they go out amid the batch
             begun = -1  # row of this batch at which the list began; -1 if before
-            for i, body in enumerate(bodies):
+            for i, value in enumerate(batch.column("text")):
+                if held >= _BATCH_BYTES:
+                    yield from _given(batch, head, given)
+                    given, held = [], 0
+                held += sizes[i] or 0
+                body = value.as_py()
                 if body is None:
                     if not across and texts:
                         given.append((begun, _list_of(texts)))

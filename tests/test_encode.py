@@ -1,5 +1,7 @@
 import json
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from envelopes import envelopes, packed, texts
 from pyspark.errors import PySparkException
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 import breachline as bl
 from breachline.functions.codecs import decompress
+from breachline.operators import encode
 
 RULE = [("acme", 9999)]
 
@@ -77,6 +80,50 @@ def test_pack_bounds(spark):
         bl.pack_events(flagged, 0)
 
 
+def given_to(step, columns, batch):
+    """What a step that is handed to mapInArrow gives for one batch, and the most bytes it held."""
+    class Rows:
+        schema = "any"
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, function, schema):
+            tracemalloc.start()
+            try:
+                rows = [r.num_rows for r in function(iter([batch]))]
+                return rows, tracemalloc.get_traced_memory()[1]
+            finally:
+                tracemalloc.stop()
+
+    frame = Rows()
+    frame.columns = columns
+    return step(frame)
+
+
+def test_packing_memory_follows_a_few_messages(spark):
+    batch = pa.RecordBatch.from_pydict({"t": [bytes([65 + i % 26]) * (64 << 10) for i in range(256)]})
+    rows, most = given_to(lambda f: encode.pack_payloads(f, 4, 900_000, "none"), ["t"], batch)
+    assert sum(rows) == 64 and len(rows) > 4
+    assert most < 8 << 20
+
+
+@pytest.mark.parametrize("across", (False, True))
+def test_list_memory_follows_a_few_lists(across):
+    n = 256
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "topic": ["t"] * n,
+            "partition": [0] * n,
+            "offset": [i // 4 for i in range(n)],
+            "text": [chr(65 + i % 26) * (64 << 10) for i in range(n)],
+        }
+    )
+    rows, most = given_to(lambda f: encode._listed(f, 300_000, across), batch.schema.names, batch)
+    assert sum(rows) == 64 and len(rows) > 4
+    assert most < 8 << 20
+
+
 def test_promote(spark):
     own = '{"customViolations":[{"policyId":5,"x":"y"}],"violations":[1]}'
     frame = envelopes(spark, [packed("[" + own + ',{},{"customViolations":null}]')])
