@@ -70,9 +70,10 @@ def python_rule(decide: Callable[..., bool | None], columns: Sequence[Column | s
 
     def judge(*values: pa.Array) -> pa.Array:
         out = []
-        for row in zip(*(v.to_pylist() for v in values)):
+        for row in zip(*values):
+            plain = [v.as_py() for v in row]  # row by row, as an event may be long
             try:
-                out.append(bool(decide(*row)))
+                out.append(bool(decide(*plain)))
             except Exception:
                 out.append(None)
         return pa.array(out, pa.bool_())
