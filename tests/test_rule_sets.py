@@ -2,7 +2,9 @@
 
 import itertools
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from envelopes import envelopes, packed, texts
 from pyspark.errors import PySparkException
@@ -285,3 +287,24 @@ def test_a_batch_done_again_leaves_nothing_of_its_first_attempt(spark, tmp_path)
     assert outputs() == ["quarantine", "violations"]
     write_batch(rows.where("false"), sink, 0, output="quarantine")
     assert outputs() == ["violations"]
+
+
+def test_python_rule_holds_one_row_at_a_time(spark, monkeypatch):
+    class Captured:
+        def __init__(self, judge, kind):
+            self.judge = judge
+
+        def asNondeterministic(self):
+            return lambda *columns: self.judge
+
+    monkeypatch.setattr(F, "arrow_udf", Captured)
+    judge = bl.python_rule(lambda text, n: 1 // n > 0 and text[0] == "a", ["text", "n"], 7).predicate
+    texts_, numbers = pa.array([chr(97 + i % 2) * (64 << 10) for i in range(256)]), pa.array([1, 1, 0, None] * 64)
+    tracemalloc.start()
+    try:
+        found = judge(texts_, numbers)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found.to_pylist() == [True, False, None, None] * 64
+    assert most < 4 << 20
