@@ -271,9 +271,9 @@ def _routed_outputs(spark, sf_dir):
     )
 
 
-def _stored(spark: SparkSession, envelopes: DataFrame) -> str:
+def _stored(spark: SparkSession, envelopes: DataFrame, **options) -> str:
     path = scratch(spark, "envelopes")
-    envelopes.write.parquet(path)
+    envelopes.write.options(**options).parquet(path)
     return path
 
 
@@ -560,9 +560,18 @@ def _stream_positions(spark, sf_dir):
     return _published_urls(both[0].union(both[1]))
 
 
+# Envelopes of a partition where a topic is made with a rate per partition, and most tasks that make it.
+_BLOCK, _TASKS = 2_500, 100_000
+
+
 def _detect_capped(spark, sf_dir):
     """Batches that take a stated number of envelopes of each partition, until all are read."""
-    stored = _stored(spark, pack_table(_pages(spark, sf_dir), "gzip", 4))
+    # A topic gets more partitions as its traffic grows, so a rate per partition keeps up with it.
+    row = F.col("offset") % (1 << 33)
+    block = (row / _BLOCK).cast("int") * _TASKS + F.col("partition")
+    envelopes = pack_table(_pages(spark, sf_dir), "gzip", 4).withColumn("partition", block)
+    # Pages of few rows, so that a batch reads its own envelopes of a file and not the whole file.
+    stored = _stored(spark, envelopes, **{"parquet.page.row.count.limit": 100})
     envelopes, target = read_envelopes(spark, path=stored), scratch(spark, "violations")
     start = collect_positions(first_positions(envelopes))
     latest = collect_positions(next_positions(envelopes))

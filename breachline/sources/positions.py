@@ -66,7 +66,8 @@ def between(envelopes: DataFrame, start: Positions, end: Positions | None = None
     """Envelopes from `start` on and before `end`, for sources that keep offsets but cannot seek.
 
     A partition that `start` does not know is read from its beginning; one that `end` does not know
-    is left for later. Where all are known, the least and greatest offsets go down to the scan.
+    is left for later. Where all are known, the ranges of offsets go down to the scan, so that files
+    skip what lies between the ranges of partitions that are apart.
     """
     known = [o for ps in start.values() for o in ps.values()]
     at = _at(start)
@@ -77,10 +78,36 @@ def between(envelopes: DataFrame, start: Positions, end: Positions | None = None
         if known and {(t, p) for t, ps in end.items() for p in ps} <= {
             (t, p) for t, ps in start.items() for p in ps
         }:
-            rows = rows.where(F.col("offset") >= min(known))
+            rows = rows.where(F.col("offset") >= min(known)).where(_in_ranges(start, end))
     return rows
 
 
+# Most ranges of offsets that a scan is given; the nearest are joined beyond that.
+_MOST_RANGES = 256
+
+
+def _ranges(start: Positions, end: Positions) -> list[tuple[int, int]]:
+    """Offsets from, to and without, that partitions have to read, in order; those that meet are one."""
+    asked = sorted((start[t][p], o) for t, ps in end.items() for p, o in ps.items() if start[t][p] < o)
+    ranges: list[tuple[int, int]] = []
+    for first, last in asked:
+        if ranges and first <= ranges[-1][1]:
+            ranges[-1] = (ranges[-1][0], max(last, ranges[-1][1]))
+        else:
+            ranges.append((first, last))
+    gaps = sorted(range(1, len(ranges)), key=lambda i: ranges[i - 1][1] - ranges[i][0])
+    cuts = [0, *sorted(gaps[: _MOST_RANGES - 1]), len(ranges)]
+    return [(ranges[a][0], ranges[b - 1][1]) for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
+def _in_ranges(start: Positions, end: Positions) -> Column:
+    """Whether an offset is in a range of any partition; what else a partition asks is for the caller."""
+    tests = [(F.col("offset") >= a) & (F.col("offset") < b) for a, b in _ranges(start, end)]
+    while len(tests) > 1:  # in pairs, so that the expression is not as deep as there are ranges
+        tests = [x | y for x, y in zip(tests[::2], tests[1::2])] + tests[len(tests) // 2 * 2 :]
+    return tests[0] if tests else F.lit(False)
+
+
 def capped_end(start: Positions, latest: Positions, most: int) -> dict[str, dict[int, int]]:
     """End of a batch that takes at most `most` envelopes of any partition.
 

@@ -10,7 +10,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import breachline as bl
-from breachline.sources.positions import capped_end, positions_json
+from breachline.plans import table_queries
+from breachline.sources.positions import _MOST_RANGES, _ranges, capped_end, positions_json
 
 TEXT = '[{"requesturl":"u"}]'
 
@@ -222,3 +223,51 @@ def test_a_replayed_batch_gives_the_same_rows(spark, tmp_path):
 
 def test_positions_text_is_sorted():
     assert positions_json({"b": {2: 1, 1: 2}, "a": {}}) == '{"a": {}, "b": {"1": 2, "2": 1}}'
+
+
+def test_scan_skips_what_lies_between_partitions(spark, tmp_path):
+    """Offsets of partitions lie far apart, and one between them has nothing left to read."""
+    for p in range(3):
+        part = envelopes(spark, [packed(TEXT)] * 20).coalesce(1)
+        at = (F.lit(p << 33) + F.col("offset")).alias("offset")
+        part.select("key", "value", "topic", F.lit(p).alias("partition"), at, "timestamp", "timestampType").write.mode(
+            "append"
+        ).parquet(str(tmp_path / "stored"))
+    stored = bl.read_envelopes(spark, path=str(tmp_path / "stored"))
+    topic = stored.first().topic
+    start = {topic: {p: (p << 33) + (20 if p == 1 else 5) for p in range(3)}}
+    end = {topic: {p: (p << 33) + (20 if p == 1 else 9) for p in range(3)}}
+    some = bl.between(stored, start, end)
+    got = sorted((r.partition, r.offset) for r in some.collect())
+    assert got == [(p, (p << 33) + i) for p in (0, 2) for i in range(5, 9)]
+    scan = some._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numOutputRows").value() <= 40  # of 60
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5000), st.integers(0, 3)), max_size=600))
+def test_ranges_hold_every_partition(spans):
+    start = {"t": {p: a for p, (a, _) in enumerate(spans)}}
+    end = {"t": {p: a + n for p, (a, n) in enumerate(spans)}}
+    found = _ranges(start, end)
+    assert len(found) <= _MOST_RANGES
+    assert all(a < b for a, b in found) and all(x[1] < y[0] for x, y in zip(found, found[1:]))
+    assert all(any(a <= s and s + n <= b for a, b in found) for s, n in spans if n)
+
+
+def test_batches_do_not_grow_in_number_with_the_table(spark, tmp_path, monkeypatch):
+    pages = spark.range(400).select(
+        F.col("id").alias("page_id"), F.concat(F.lit("http://example.com/"), "id").alias("url"), F.lit("x").alias("html")
+    )
+    pages.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(table_queries, "_BLOCK", 50, raising=False)
+    write, batches = table_queries.write_violations, []
+
+    def written(routed, sink):
+        batches.append(routed)
+        write(routed, sink)
+
+    monkeypatch.setattr(table_queries, "write_violations", written)
+    rows = table_queries.QUERIES["detect_capped"](spark, str(tmp_path)).collect()
+    assert sorted(r.page_id for r in rows) == list(range(400))
+    assert len(batches) == 2  # 100 envelopes, 50 to a partition, 25 of each in a batch
