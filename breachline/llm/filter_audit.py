@@ -21,6 +21,9 @@ from .shared import stage
 #: character of `#$%&*|`, a copy of a smaller id's text.
 FILTERS = "ABCDE"
 
+#: Size of the row groups that shards are staged in: a shard of the usual size, or some smaller ones.
+GROUP_BYTES = 8 << 20
+
 
 #: What a text has beside its words: name, type, and how it is taken from the UTF-8 bytes.
 Measure = tuple[str, pa.DataType, Callable[[bytes], Any]]
@@ -157,8 +160,11 @@ def clashes(shards: DataFrame, bits: int = 63) -> DataFrame:
     next to none, but the numbers are right however many there are.
     """
     coded = _coded(shards, bits)
-    shared = coded.groupBy("_code").agg(F.count("*").alias("_n")).where("_n > 1").select("_code")
-    others = stage(shared).join(_coded(shards, bits), "_code")
+    shared = stage(
+        coded.groupBy("_code").agg(F.count("*").alias("_n")).where("_n > 1").select("_code")
+    )
+    # If no code is shared, all words would be shuffled again to find none.
+    others = shared.join(_coded(shards.limit(0) if shared.isEmpty() else shards, bits), "_code")
     nth = F.row_number().over(Window.partitionBy("_code").orderBy("word"))
     others = others.withColumn("_nth", nth).where("_nth > 1")
     return stage(others.select("word", (-1 - F.monotonically_increasing_id()).alias("column")))
@@ -264,7 +270,9 @@ def failures(documents: DataFrame, shard_bytes: int = 8 << 20, bits: int = 63) -
     no other fail it. Copies are found by digest of the text: first places are aggregated before the
     shuffle, and only texts that occur again are joined, which Spark splits where they are many.
     """
-    cut = stage(shards(documents.select("doc_id", "source", "text"), shard_bytes, _FLAGS))
+    # A task may make any number of shards, so they are not all one row group.
+    texts = documents.select("doc_id", "source", "text")
+    cut = stage(shards(texts, shard_bytes, _FLAGS), GROUP_BYTES)
     judged = stage(row_sums(cut, clashes(cut, bits), bits))
     again = (
         judged.groupBy("digest")

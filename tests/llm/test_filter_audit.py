@@ -2,11 +2,13 @@
 
 from collections import Counter
 from itertools import permutations
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from breachline.llm import filter_audit
+from breachline.llm import filter_audit, shared
 
 SCHEMA = "doc_id bigint, source string, text string, mask int, part string"
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -123,3 +125,18 @@ def test_every_shard_is_bounded(spark):
     rows = documents(spark, ROWS).select("doc_id", F.lit("ten bytes.").alias("text")).coalesce(1)
     sizes = sorted(len(r["rows"]) for r in filter_audit.shards(rows, 45).collect())
     assert sizes == [4, 4, 4]
+
+
+def test_staged_shards_are_read_in_parts(spark):
+    words = F.expr("transform(sequence(1, 40000), i -> hash(id, i))").cast("array<string>")
+    rows = spark.range(0, 60, 1, 1).select(
+        F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.concat_ws(" ", words).alias("text")
+    )
+    before = set(shared.staged())
+    assert filter_audit.failures(rows, 1 << 20).where("n_words = 40000 AND mask = 0").count() == 60
+    cut = next(p for p in shared.staged() if p not in before)
+    files = [pq.ParquetFile(f).metadata for f in Path(cut).glob("*.parquet")]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    # All of one task: 30 shards, two documents each.
+    assert len(files) == 1 and sum(g.num_rows for g in groups) == 30
+    assert max(g.total_byte_size for g in groups) < 12 << 20 < sum(g.total_byte_size for g in groups)
